@@ -1,13 +1,14 @@
 """Named queries over a star-schema folder: ``QUERIES[name](spark, folder)``.
 
-Each entry reads whole tables, cleans what it needs and runs one report, as one
-lazy plan. On a lake with materialised layers the same plan functions take
-``spark.table(...)`` instead.
+Called with a folder, an entry reads whole raw tables, cleans what it needs and
+runs one report, as one lazy plan. Where the clean layer is stored,
+``QUERIES[name].on(table)`` runs the same report over the stored tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -51,17 +52,23 @@ PERIODS = {
 }
 
 
-def _over(*tables: str) -> Callable[[Callable[..., DataFrame]], Query]:
-    """Turn a report over clean tables into a query over a folder."""
+@dataclass(frozen=True)
+class Report:
+    """A report and the clean tables it reads, named after their raw tables."""
 
-    def wrap(report: Callable[..., DataFrame]) -> Query:
-        def query(spark: SparkSession, folder: str) -> DataFrame:
-            s = StarSchema(spark, folder)
-            return report(*[s.silver(t) for t in tables])
+    tables: tuple[str, ...]
+    run: Callable[..., DataFrame]
 
-        return query
+    def on(self, clean_table: Callable[[str], DataFrame]) -> DataFrame:
+        """Run over tables from anywhere: a catalog, a folder, test frames."""
+        return self.run(*map(clean_table, self.tables))
 
-    return wrap
+    def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
+        return self.on(StarSchema(spark, folder).silver)
+
+
+def _over(*tables: str) -> Callable[[Callable[..., DataFrame]], Report]:
+    return lambda run: Report(tables, run)
 
 
 _tx = _over("financial_transactions")

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.operators.clean import CLEANINGS, clean
@@ -58,16 +61,33 @@ GOLD = {
 }
 
 
+def run_together(spark: SparkSession, jobs: Iterable[Callable[[], None]], at_once: int = 4) -> None:
+    """Run independent table builds side by side, so small tables do not leave the cluster idle.
+
+    The first failure is raised once the running builds have ended.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    for done in waiting:
+        done.result()
+
+
 def load_bronze(spark: SparkSession, folder: str, layers: Layers = Layers(), **options) -> None:
     """Append every landing file to its raw table. Rejected rows are left to ``validate_load``."""
-    for table in TABLES.values():
+
+    def job(table):
         loaded = load(spark, f"{folder.rstrip('/')}/{table.file}", table, **options)
-        sink.append(loaded.good, f"{layers.bronze}.{table.name}")
+        return lambda: sink.append(loaded.good, f"{layers.bronze}.{table.name}")
+
+    run_together(spark, map(job, TABLES.values()))
 
 
 def build_silver(spark: SparkSession, layers: Layers = Layers()) -> None:
-    for name, spec in CLEANINGS.items():
-        sink.materialize(clean(spark.table(f"{layers.bronze}.{name}"), name), f"{layers.silver}.{spec.target}")
+    def job(name, target):
+        cleaned = clean(spark.table(f"{layers.bronze}.{name}"), name)
+        return lambda: sink.materialize(cleaned, f"{layers.silver}.{target}")
+
+    run_together(spark, [job(name, spec.target) for name, spec in CLEANINGS.items()])
 
 
 def gold_table(name: str, source: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:

@@ -1,0 +1,32 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
+
+from larder.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    base = tmp_path_factory.mktemp("spark")
+    session = build_session(
+        "larder-tests",
+        spark__master="local[4]",
+        spark__driver__memory="4g",
+        spark__sql__shuffle__partitions="4",
+        spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
+        spark__sql__warehouse__dir=str(base / "warehouse"),
+        spark__checkpoint__dir=str(base / "shared"),
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def tiny():
+    return os.environ.get("LARDER_TEST_DIR", "/root/testdata/sf0.001")
