@@ -46,6 +46,9 @@ def load_new_csv(
         append(loaded.good, target)
         if rejects:
             loaded.rejects.write.mode("append").saveAsTable(rejects)
+        # the batch writes in a session of its own; let the caller's see the new files
+        for name in filter(None, (target, rejects)):
+            spark.catalog.refreshTable(name)
 
     return (
         lines.writeStream.foreachBatch(store)
