@@ -1,0 +1,326 @@
+"""Report semantics on literal rows: NULL order, ties, fan-out, truncation, empty selections."""
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import rows, sales as tx, table
+from larder.plans import customers, gold, logistics, marketing, promotions, reviews, sales, service
+
+
+def promos(spark, *data, **defaults):
+    return table(
+        spark, "promotions_data",
+        *[{"promotion_id": f"p{i}", **r} for i, r in enumerate(data)],
+        **{"region": "N", "product_category": "C", "promotion_type": "T", "discount_percentage": 0.2,
+           "start_date": "2024-01-01", "end_date": "2024-01-31", **defaults},
+    )
+
+
+def campaigns(spark, *data, **defaults):
+    return table(
+        spark, "marketing_campaigns",
+        *[{"campaign_id": f"c{i}", **r} for i, r in enumerate(data)],
+        **{"region": "N", "budget": 100, "reach": 10, "conversion_rate": 0.5,
+           "start_date": "2024-01-01", "end_date": "2024-01-31", **defaults},
+    )
+
+
+# --- sales -------------------------------------------------------------------
+
+
+def test_growth_uses_the_month_before_and_survives_zero(spark):
+    df = tx(
+        spark,
+        {"transaction_date": "2024-01-05", "amount": 0}, {"transaction_date": "2024-02-05", "amount": 3},
+        {"transaction_date": "2024-03-05", "amount": 4}, {"transaction_date": "2024-03-06", "amount": None},
+    )
+    got = [(str(r["month"]), r["nb_transactions"], r["growth_pct_mom"]) for r in sales.monthly_sales_mom(df).collect()]
+    assert got == [("2024-01-01", 1, None), ("2024-02-01", 1, None), ("2024-03-01", 1, Decimal("33.33"))]
+
+
+def test_type_match_is_exact_in_reports_and_case_free_in_gold(spark):
+    df = tx(spark, {"amount": 1}, {"amount": 2, "transaction_type": "SALE"})
+    assert sales.quarterly_sales(df).first()["nb_transactions"] == 1
+    assert gold.enriched_sales(df).count() == 2
+
+
+def test_weekday_order(spark):
+    df = tx(spark, {"transaction_date": "2024-01-06", "amount": 1}, {"transaction_date": "2024-01-07", "amount": 1})
+    assert [r["day_of_week"] for r in sales.weekday_sales(df).collect()] == ["Sun", "Sat"]
+
+
+def test_region_shares_add_up(spark):
+    df = tx(spark, *[{"region": r, "amount": a} for r, a in (("N", 1), ("S", 1), ("E", 1), (None, 9))])
+    got = sales.region_sales_share(df).collect()
+    assert [r["pct_total_sales"] for r in got] == [Decimal("33.33")] * 3
+
+
+def test_empty_selection_gives_no_rows_and_the_same_columns(spark):
+    df = tx(spark, {"amount": 5, "payment_method": "Card"})
+    for report in (sales.filtered_monthly_sales, sales.filtered_region_sales, sales.filtered_weekday_sales):
+        assert report(df, regions=[]).collect() == [] and report(df, methods=[]).collect() == []
+        assert report(df, regions=[]).schema == report(df).schema
+        assert report(df).count() == 1
+
+
+def test_selection_values_are_data_not_text(spark):
+    df = tx(spark, {"amount": 5, "payment_method": "Card", "region": "L'Est"})
+    assert sales.filtered_region_sales(df, regions=["L'Est"]).count() == 1
+
+
+def test_minimum_amount_is_inclusive(spark):
+    df = tx(spark, {"amount": 10, "payment_method": "Card"}, {"amount": "9.99", "payment_method": "Card"})
+    assert sales.filtered_region_sales(df, min_amount=10).first()["nb_transactions"] == 1
+
+
+@pytest.fixture
+def monthly(spark):
+    data = [("N", "2024-01-05", 10), ("N", "2024-01-06", 20), ("S", "2024-01-05", 60), ("S", "2024-02-05", 90), ("N", None, 500)]
+    return sales.filtered_monthly_sales(
+        tx(spark, *[{"region": r, "transaction_date": d, "amount": a, "payment_method": "Card"} for r, d, a in data])
+    )
+
+
+def test_rollup_is_a_mean_of_means(monthly):
+    first, second = sales.monthly_rollup_all_regions(monthly).collect()
+    assert (first["total_sales"], first["nb_transactions"], first["avg_transaction_value"]) == (90, 3, 37.5)
+    assert second["avg_transaction_value"] == 90.0
+
+
+def test_best_month_is_the_earliest_of_a_tie(monthly):
+    assert str(sales.best_month(monthly).first()["month"]) == "2024-01-01"
+
+
+def test_kpis(monthly):
+    assert tuple(sales.sales_kpis(monthly).first()) == (680, 5, 136.0)
+    assert tuple(sales.sales_kpis(monthly.filter("false")).first()) == (0, 0, 0.0)
+
+
+def test_top_regions_ties_follow_total_sales(spark):
+    df = tx(
+        spark, *[{"region": r, "amount": a, "payment_method": "Card"} for r, a in (("A", 1), ("B", 4), ("C", 3), ("D", 2))]
+    )
+    got = [(r["metric"], r["region"]) for r in sales.top_regions(sales.filtered_region_sales(df)).collect()]
+    assert [r for m, r in got if m == "nb_transactions"] == ["B", "C", "D"]
+    assert [r for m, r in got if m == "total_sales"] == ["B", "C", "D"]
+
+
+def test_filter_summary(spark):
+    df = tx(spark, {"region": "N", "payment_method": "A"}, {"region": "S", "payment_method": "A"})
+    assert tuple(sales.sales_filter_summary(df).first())[:2] == (2, 1)
+    assert tuple(sales.sales_filter_summary(df, ["N"], ["A", "B"]).first())[:2] == (1, 2)
+
+
+# --- promotions --------------------------------------------------------------
+
+
+def impact(df):
+    return {r["promo_status"]: r for r in df.collect()}
+
+
+def test_a_sale_counts_once_per_promotion(spark):
+    t = tx(spark, {"amount": 10}, {"amount": 20, "region": "S"}, {"amount": 30, "transaction_date": None}, {"amount": None})
+    p = promos(spark, {}, {}, {"region": "S", "end_date": None})
+    got = impact(promotions.promo_impact(t, p))
+    assert (got["Avec promotion"]["nb_transactions"], got["Avec promotion"]["total_sales"]) == (2, 20)
+    assert (got["Sans promotion"]["nb_transactions"], got["Sans promotion"]["total_sales"]) == (2, 50)
+    assert got["Avec promotion"]["pct_volume"] == 50
+    overlap = promotions.sales_promotion_overlap(t, p)
+    assert overlap.groupBy("promo_status").count().orderBy("promo_status").collect() == [
+        ("Avec promotion", 2), ("Sans promotion", 2),
+    ]
+
+
+def test_a_promotion_without_id_is_no_promotion(spark):
+    t = tx(spark, {"amount": 10})
+    p = promos(spark, {}, {"promotion_id": None})
+    got = impact(promotions.promo_impact(t, p))
+    assert got["Avec promotion"]["nb_transactions"] == 1 and got["Sans promotion"]["nb_transactions"] == 1
+
+
+def test_dashboard_filters_move_sales_to_without(spark):
+    t = tx(spark, {"amount": 10}, {"amount": None})
+    p = promos(spark, {"discount_percentage": 0.3})
+    got = impact(promotions.filtered_promo_impact(t, p, max_discount=Decimal("0.2")))
+    assert set(got) == {"Sans promotion"}
+    # sales without an amount count, but not in the average
+    assert (got["Sans promotion"]["nb_transactions"], got["Sans promotion"]["avg_transaction_value"]) == (2, 10)
+    assert promotions.filtered_promo_impact(t, p, regions=[]).collect() == []
+    assert promotions.filtered_promo_impact(t, p, categories=[]).collect() == []
+
+
+def test_uplift_needs_both_statuses(spark):
+    t = tx(spark, {"amount": 30}, {"amount": 20, "region": "S"})
+    both = promotions.promo_uplift(promotions.filtered_promo_impact(t, promos(spark, {}))).first()
+    assert both["uplift_pct"] == pytest.approx(50) and both["verdict"] == "gain"
+    one = promotions.filtered_promo_impact(t, promos(spark, {"region": "X"}))
+    assert promotions.promo_uplift(one).collect() == []
+
+
+def test_percent_range():
+    assert promotions.percent_range(5, 40) == (Decimal("0.05"), Decimal("0.4"))
+
+
+def test_alerts(spark):
+    p = promos(spark, {"discount_percentage": 0.9}, {"discount_percentage": 0.1, "product_category": "D"})
+    sensitivity = promotions.category_sensitivity(p)
+    assert tuple(promotions.margin_alert(sensitivity).first()) == (50.0, 35, True)
+    assert tuple(promotions.duration_alert(sensitivity).first()) == (30.0, 20, True)
+    assert promotions.margin_alert(sensitivity.filter("false")).first()["alert"] is False
+
+
+def test_category_rollup_and_top(spark):
+    p = promos(
+        spark, {"discount_percentage": 0.1}, {"discount_percentage": 0.1}, {"discount_percentage": 0.4, "region": "S"},
+        {"product_category": "D"},
+    )
+    sensitivity = promotions.category_sensitivity(p)
+    rollup = promotions.category_rollup(sensitivity)
+    first = rollup.first()
+    assert (first["product_category"], first["nb_promotions"], first["avg_discount_pct"]) == ("C", 3, 25.0)
+    assert promotions.top_category(rollup).first()["product_category"] == "C"
+    assert promotions.category_rollup(sensitivity, "S").count() == 1
+
+
+def test_elasticity_sign(spark):
+    t = tx(spark, *[{"transaction_date": f"2024-01-0{d}", "amount": a} for d, a in ((1, 10), (2, 20), (3, 30))])
+    p = promos(
+        spark,
+        *[{"start_date": f"2024-01-0{d}", "end_date": f"2024-01-0{d}", "discount_percentage": x}
+          for d, x in ((1, 0.1), (2, 0.2), (3, 0.3))],
+    )
+    row = promotions.discount_elasticity_by_category(t, p).first()
+    assert (row["nb_observations"], row["sales_per_point"]) == (3, 1.0)
+
+
+# --- marketing ---------------------------------------------------------------
+
+
+def test_campaign_roi(spark):
+    t = tx(spark, {"amount": 250}, {"amount": 50, "transaction_date": "2024-01-31"}, {"amount": 7, "transaction_date": "2024-02-01"},
+           {"amount": 9, "transaction_type": "Refund"})
+    c = campaigns(
+        spark, {}, {"region": "X"}, {"budget": 0}, {"budget": None}, {"reach": 0, "start_date": "2024-02-01", "end_date": "2024-02-01"},
+        {"end_date": None},
+    )
+    got = [
+        (r["campaign_id"], r["nb_sales_in_period"], r["total_sales_in_period"], r["roi_ratio"], r["revenue_per_reach"])
+        for r in marketing.campaign_roi(c, t).collect()
+    ]
+    assert got == [
+        ("c0", 2, 300, 3, 30), ("c4", 1, 7, Decimal("0.07"), None), ("c1", 0, None, None, None), ("c5", 0, None, None, None),
+    ]
+
+
+def test_dashboard_figures_see_only_the_listed_campaigns(spark):
+    t = tx(spark, {"amount": 50})
+    c = campaigns(spark, {"budget": 10}, {"budget": 100}, {"budget": 200}, {"region": "X"})
+    listed = marketing.campaign_dashboard(c, t, limit=2)
+    assert [r["campaign_id"] for r in listed.collect()] == ["c0", "c1"]
+    assert tuple(marketing.marketing_kpis(listed).first()) == (110, 100, pytest.approx(100 / 110), 20)
+    assert tuple(marketing.low_roi_alert(listed).first()) == (1, 100)
+    everything = marketing.campaign_dashboard(c, t, limit=None)
+    # the campaign without sales has no ratio and raises nothing
+    assert tuple(marketing.low_roi_alert(everything).first()) == (2, 300)
+    assert marketing.top_campaigns(everything, 3).count() == 3
+
+
+def test_periods_of_one_campaign_add_up_on_the_dashboard(spark):
+    t = tx(spark, {"amount": 5}, {"amount": 6, "transaction_date": "2024-03-05"})
+    c = campaigns(
+        spark, {"campaign_id": "c"}, {"campaign_id": "c", "start_date": "2024-03-01", "end_date": "2024-03-31"},
+    )
+    assert [tuple(r)[-3:-1] for r in marketing.campaign_dashboard(c, t).collect()] == [(2, 11)]
+    assert marketing.campaign_roi(c, t).count() == 2
+
+
+def test_descending_puts_null_first(spark):
+    c = campaigns(
+        spark, {"campaign_type": "A"}, {"campaign_type": "B", "conversion_rate": None}, {"campaign_type": None},
+        target_audience="All",
+    )
+    assert rows(marketing.campaign_type_performance(c).select("campaign_type")) == [("B",), ("A",)]
+    # the dashboard keeps the NULL type
+    assert rows(marketing.campaign_type_table(c).select("campaign_type")) == [("B",), ("A",), (None,)]
+    assert marketing.best_campaign_type(marketing.campaign_type_table(c)).first()["campaign_type"] == "B"
+
+
+def test_ties_follow_the_key(spark):
+    c = campaigns(spark, *[{"target_audience": a} for a in "DBCA"])
+    assert rows(marketing.audience_performance(c, 2).select("target_audience")) == [("A",), ("B",)]
+
+
+# --- other domains -----------------------------------------------------------
+
+
+def test_age_groups(spark):
+    c = table(
+        spark, "customer_demographics",
+        {"customer_id": 1, "date_of_birth": "2010-01-01", "annual_income": 10},
+        {"customer_id": 2, "date_of_birth": "2000-12-31", "annual_income": None},
+        {"customer_id": 3, "date_of_birth": "1950-01-01", "annual_income": 5},
+        {"customer_id": 4},
+    )
+    got = rows(customers.age_group_distribution(c, "2024-01-01"))
+    assert got == [("18-24", 2, Decimal("66.67"), 10), ("65+", 1, Decimal("33.33"), 5)]
+    segments = {r["customer_id"]: (r["age"], r["age_segment"]) for r in gold.enriched_customers(c, "2024-01-01").collect()}
+    assert segments == {1: (14, "18-24"), 2: (24, "18-24"), 3: (74, "60+"), 4: (None, "NA")}
+
+
+def test_income_order(spark):
+    c = table(spark, "customer_demographics", *[{"customer_id": i, "annual_income": a} for i, a in enumerate((200000, 60000, 1, 49999.5))])
+    got = rows(customers.income_bracket_distribution(c).select("income_bracket", "nb_customers"))
+    assert got == [("< 30K", 1), ("50K-75K", 1), ("100K+", 2)]
+
+
+def test_rating_classes_use_the_rounded_average(spark):
+    ratings = [5] * 99 + [4] * 100  # 4.497... rounds to 4.50
+    r = table(spark, "product_reviews", *[{"review_id": i, "product_id": "p", "rating": x} for i, x in enumerate(ratings)])
+    assert reviews.rating_category_distribution(r).first()["rating_category"] == "Excellent (4.5-5.0)"
+
+
+def test_top_products_ties(spark):
+    r = table(spark, "product_reviews", *[{"review_id": i, "product_id": p} for i, p in enumerate("cbad")])
+    assert rows(reviews.top_products_by_reviews(r, 2).select("product_id")) == [("a",), ("b",)]
+
+
+def test_service(spark):
+    s = table(
+        spark, "customer_service_interactions",
+        {"interaction_id": "1", "resolution_status": "Resolved", "duration_minutes": 9.5, "customer_satisfaction": 4},
+        {"interaction_id": "2", "resolution_status": None, "duration_minutes": 3, "customer_satisfaction": None},
+        {"interaction_id": "3", "issue_category": "J"},
+        interaction_type="call", issue_category="I",
+    )
+    got = rows(service.service_satisfaction(s))
+    assert got[0][1] == "J" and got[0][3] is None  # no rating sorts first
+    assert got[1][1:] == ("I", 2, 4, Decimal("6.3"), 1, 50)
+    assert rows(service.duration_bucket_satisfaction(s)) == [("30+ min", 1, 4)]
+
+
+def test_stock(spark):
+    i = table(
+        spark, "inventory",
+        {"current_stock": 1, "reorder_point": 5}, {"current_stock": 5, "reorder_point": 5}, {"current_stock": None, "reorder_point": 5},
+        product_category="C", country="FR", warehouse="W", lead_time=3,
+    )
+    assert tuple(logistics.stock_status(i).first()) == ("Situation actuelle des stocks", 1, 1, 2, 50)
+    assert tuple(logistics.low_stock_by_category(i).first()) == ("C", 1, 1, 5, 3)
+    assert tuple(logistics.stockouts_by_warehouse(i).first()) == ("FR", "W", 2, 1, 50)
+    assert tuple(logistics.stock_status(i.filter("false")).first())[1:] == (None, None, 0, None)
+
+
+def test_shipping(spark):
+    s = table(
+        spark, "logistics_and_shipping",
+        {"shipment_id": "1", "estimated_delivery": "2024-01-08", "shipping_method": "Air", "status": "Delivered"},
+        {"shipment_id": "2", "estimated_delivery": "2024-01-09", "shipping_method": None},
+        {"shipment_id": "3", "estimated_delivery": None, "shipping_method": "Air"},
+        ship_date="2024-01-01", destination_region="N", destination_country="FR", shipping_cost=2,
+    )
+    assert rows(logistics.shipping_method_delay(s)) == [("Air", 1, 2, 7, 7, 7)]
+    # 7 days is not long; the NULL method stays
+    assert rows(logistics.long_delivery_rate(s)) == [(None, 1, 8, 1, 100), ("Air", 1, 7, 0, 0)]
+    assert rows(logistics.region_logistics(s)) == [("N", "FR", 3, 2, Decimal("7.5"), 1, Decimal("33.33"))]
