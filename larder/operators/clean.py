@@ -25,6 +25,8 @@ class Cleaning:
     ranges: dict[str, tuple[int, int]] = field(default_factory=dict)
     interval: tuple[str, str] | None = None
     newest: str | None = None
+    # order of rows inside stored files, so that scans filtering on these skip row groups
+    layout: tuple[str, ...] = ()
 
 
 CLEANINGS: dict[str, Cleaning] = {
@@ -49,6 +51,7 @@ CLEANINGS: dict[str, Cleaning] = {
             blank=("transaction_id", "transaction_type", "payment_method", "entity", "region",
                    "account_code"),
             non_negative=("amount",),
+            layout=("transaction_type", "region", "transaction_date"),
         ),
         Cleaning(
             "promotions_data", "promotions_clean", ("promotion_id",),
@@ -147,3 +150,9 @@ def clean(df: DataFrame, table: str, strict_blanks: bool = False) -> DataFrame:
     """Clean rows of a raw table named in ``CLEANINGS``."""
     spec = CLEANINGS[table]
     return keep_one(apply_rules(df, spec, strict_blanks), spec.key, spec.newest)
+
+
+def laid_out(cleaned: DataFrame, table: str) -> DataFrame:
+    """Clean rows in the order they are stored in: sorted inside each partition, no shuffle."""
+    layout = CLEANINGS[table].layout
+    return cleaned.sortWithinPartitions(*layout) if layout else cleaned

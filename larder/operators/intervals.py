@@ -169,7 +169,8 @@ def left_interval_join(
         F.expr("interval 1 month"),
     )
     reach = (F.col(end) >= first) & (F.col(start) <= last)
-    kept = [c for c in intervals.columns if c not in facts.columns]
+    taken = set(facts.columns)
+    kept = [c for c in intervals.columns if c not in taken]
     spread = (
         _usable(intervals, key, start, end)
         .filter(reach)

@@ -9,14 +9,14 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.operators.clean import CLEANINGS, clean
+from larder.operators.clean import CLEANINGS, clean, laid_out
 from larder.plans import gold, quality
 from larder.schemas import TABLES
 from larder.sinks import tables as sink
 from larder.sinks.tables import Layers
 from larder.sources.files import load
 
-# gold table -> (job, clean source, logical key, table comment, column comments)
+# gold table -> (clean source, logical key, table comment, column comments)
 GOLD = {
     "ventes_enrichies": (
         "financial_transactions_clean", "transaction_id",
@@ -84,7 +84,7 @@ def load_bronze(spark: SparkSession, folder: str, layers: Layers = Layers(), **o
 
 def build_silver(spark: SparkSession, layers: Layers = Layers()) -> None:
     def job(name, target):
-        cleaned = clean(spark.table(f"{layers.bronze}.{name}"), name)
+        cleaned = laid_out(clean(spark.table(f"{layers.bronze}.{name}"), name), name)
         return lambda: sink.materialize(cleaned, f"{layers.silver}.{target}")
 
     run_together(spark, [job(name, spec.target) for name, spec in CLEANINGS.items()])

@@ -110,17 +110,18 @@ def _split(rows: DataFrame, table: Table, broken: Expr | None = None, lenient: t
     return Loaded(good, rejects)
 
 
-def read_csv_text(spark: SparkSession, path: str, table: Table, **options) -> DataFrame:
+def csv_text(reader, path: str, table: Table, **options) -> DataFrame:
     """All fields as text, trimmed, with NULL texts applied, plus the raw line of broken rows.
 
-    Column pruning is off for this scan: with it, Spark judges the number of
-    fields on the columns a query happens to use. Quoted line breaks are
-    supported by default; pass ``multiLine=False`` for feeds without them, so
-    that large files split over many tasks.
+    ``reader`` is ``spark.read`` or ``spark.readStream``. Column pruning is off
+    for this scan: with it, Spark judges the number of fields on the columns a
+    query happens to use. Quoted line breaks are supported by default; pass
+    ``multiLine=False`` for feeds without them, so that large files split over
+    many tasks.
     """
     schema = T.StructType([*table.text_schema.fields, T.StructField(CORRUPT, T.StringType())])
     raw = (
-        spark.read.options(**(CSV_OPTIONS | options))
+        reader.options(**(CSV_OPTIONS | options))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", False)
@@ -130,47 +131,76 @@ def read_csv_text(spark: SparkSession, path: str, table: Table, **options) -> Da
     return raw.select(*[_null_texts(F.col(n)).alias(n) for n in table.names], CORRUPT)
 
 
-def load_csv(spark: SparkSession, path: str, table: Table | str, **options) -> Loaded:
-    table = TABLES[table] if isinstance(table, str) else table
-    return _split(read_csv_text(spark, path, table, **options), table, F.col(CORRUPT).isNotNull())
-
-
-def read_tsv_text(spark: SparkSession, path: str, table: Table, **options) -> DataFrame:
+def tsv_text(reader, path: str, table: Table, **options) -> DataFrame:
     """Tab-separated text without quoting; short rows are padded with NULL, long ones cut."""
-    raw = spark.read.options(**(TSV_OPTIONS | options)).schema(table.text_schema).csv(path)
+    raw = reader.options(**(TSV_OPTIONS | options)).schema(table.text_schema).csv(path)
     return raw.select(*[_null_texts(F.col(n)).alias(n) for n in table.names])
 
 
-def load_reviews_tsv(spark: SparkSession, path: str, **options) -> Loaded:
-    """Reviews: numbers that do not parse become NULL, timestamps are cut to their day.
+def json_text(reader, path: str, table: Table, **options) -> DataFrame:
+    """Objects of an outer array, or one per line with ``multiLine=False``; fields as text.
+
+    A file holding one array is read by one task. Large feeds should come as
+    many files or as one object per line.
+    """
+    return reader.options(**(JSON_OPTIONS | options)).schema(table.text_schema).json(path)
+
+
+_TEXT = {"csv": csv_text, "tsv": tsv_text, "json": json_text}
+
+
+def judge_csv(rows: DataFrame, table: Table) -> Loaded:
+    return _split(rows, table, F.col(CORRUPT).isNotNull())
+
+
+def judge_reviews(rows: DataFrame, table: Table) -> Loaded:
+    """Numbers that do not parse become NULL, timestamps are cut to their day.
 
     A bad date or a missing id still rejects the row.
     """
-    table = TABLES["product_reviews"]
-    rows = read_tsv_text(spark, path, table, **options)
-    rows = rows.withColumn("review_date", F.substring("review_date", 1, 10))
-    return _split(rows, table, lenient=("review_id", "rating"))
+    days = rows.withColumn("review_date", F.substring("review_date", 1, 10))
+    return _split(days, table, lenient=("review_id", "rating"))
+
+
+def judge_json(rows: DataFrame, table: Table) -> Loaded:
+    """Numbers written as text are accepted, numeric postal codes become text."""
+    return _split(rows, table)
+
+
+_JUDGE = {"csv": judge_csv, "tsv": judge_reviews, "json": judge_json}
+
 
+def _table(table: Table | str) -> Table:
+    return TABLES[table] if isinstance(table, str) else table
 
-def read_json_text(spark: SparkSession, path: str, table: Table, **options) -> DataFrame:
-    """Objects of an outer array (or of one-per-line files with ``multiLine=False``), fields as text."""
-    return spark.read.options(**(JSON_OPTIONS | options)).schema(table.text_schema).json(path)
+
+def text_rows(reader, path: str, table: Table, format: str | None = None, **options) -> DataFrame:
+    return _TEXT[format or table.format](reader, path, table, **options)
+
+
+def judged(rows: DataFrame, table: Table, format: str | None = None) -> Loaded:
+    return _JUDGE[format or table.format](rows, table)
+
+
+def load_csv(spark: SparkSession, path: str, table: Table | str, **options) -> Loaded:
+    table = _table(table)
+    return judge_csv(csv_text(spark.read, path, table, **options), table)
+
+
+def load_reviews_tsv(spark: SparkSession, path: str, **options) -> Loaded:
+    table = TABLES["product_reviews"]
+    return judge_reviews(tsv_text(spark.read, path, table, **options), table)
 
 
 def load_json(spark: SparkSession, path: str, table: Table | str, **options) -> Loaded:
-    """Numbers written as text are accepted, numeric postal codes become text."""
-    table = TABLES[table] if isinstance(table, str) else table
-    return _split(read_json_text(spark, path, table, **options), table)
+    table = _table(table)
+    return judge_json(json_text(spark.read, path, table, **options), table)
 
 
 def load(spark: SparkSession, path: str, table: Table | str, **options) -> Loaded:
     """Load a file by the format its table declares."""
-    table = TABLES[table] if isinstance(table, str) else table
-    if table.format == "json":
-        return load_json(spark, path, table, **options)
-    if table.format == "tsv":
-        return load_reviews_tsv(spark, path, **options)
-    return load_csv(spark, path, table, **options)
+    table = _table(table)
+    return judged(text_rows(spark.read, path, table, **options), table)
 
 
 def validate_load(spark: SparkSession, path: str, table: Table | str, **options) -> DataFrame:
@@ -180,9 +210,8 @@ def validate_load(spark: SparkSession, path: str, table: Table | str, **options)
 
 def read_text_fields(spark: SparkSession, path: str, table: Table | str, format: str | None = None) -> DataFrame:
     """A file read in place: positional fields under the table's names, all text."""
-    table = TABLES[table] if isinstance(table, str) else table
-    reader = {"csv": read_csv_text, "tsv": read_tsv_text, "json": read_json_text}[format or table.format]
-    return reader(spark, path, table).select(*table.names)
+    table = _table(table)
+    return text_rows(spark.read, path, table, format).select(*table.names)
 
 
 def preview_file(
@@ -193,7 +222,7 @@ def preview_file(
 
 def reconcile_load(spark: SparkSession, path: str, table: Table | str, loaded: DataFrame) -> DataFrame:
     """One row: records readable in the file, rows stored, and the difference."""
-    table = TABLES[table] if isinstance(table, str) else table
+    table = _table(table)
     # every field takes part, so the reader cannot skip parsing the records
     fields = F.struct(*table.names)
     readable = read_text_fields(spark, path, table).agg(F.count(fields).alias("raw_rows"))

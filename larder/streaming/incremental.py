@@ -7,7 +7,7 @@ same casting and reject rules as the batch load.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from larder.schemas import TABLES, Table
@@ -15,7 +15,7 @@ from larder.sinks.tables import append
 from larder.sources import files
 
 
-def load_new_csv(
+def load_new_files(
     spark: SparkSession,
     folder: str,
     table: Table | str,
@@ -24,25 +24,17 @@ def load_new_csv(
     rejects: str | None = None,
     **options,
 ) -> StreamingQuery:
-    """Append the good rows of CSV files not seen before to ``target``, then stop.
+    """Append the good rows of files not seen before to ``target``, then stop.
 
-    ``checkpoint`` must be on storage all executors share. Rejected rows go to
-    the table ``rejects`` if one is named. A batch repeated after a failure can
-    append its rows again; the clean layer keeps one row per key.
+    The table's declared format decides how files are read. ``checkpoint`` must
+    be on storage all executors share. Rejected rows go to the table ``rejects``
+    if one is named. A batch repeated after a failure can append its rows again;
+    the clean layer keeps one row per key.
     """
     table = TABLES[table] if isinstance(table, str) else table
-    schema = T.StructType([*table.text_schema.fields, T.StructField(files.CORRUPT, T.StringType())])
-    raw = (
-        spark.readStream.options(**(files.CSV_OPTIONS | options))
-        .option("columnNameOfCorruptRecord", files.CORRUPT)
-        .option("columnPruning", False)
-        .schema(schema)
-        .csv(folder)
-    )
-    lines = raw.select(*[files._null_texts(F.col(n)).alias(n) for n in table.names], files.CORRUPT)
 
     def store(batch: DataFrame, _: int) -> None:
-        loaded = files._split(batch, table, F.col(files.CORRUPT).isNotNull())
+        loaded = files.judged(batch, table)
         append(loaded.good, target)
         if rejects:
             loaded.rejects.write.mode("append").saveAsTable(rejects)
@@ -51,7 +43,8 @@ def load_new_csv(
             spark.catalog.refreshTable(name)
 
     return (
-        lines.writeStream.foreachBatch(store)
+        files.text_rows(spark.readStream, folder, table, **options)
+        .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -6,11 +6,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from larder.operators.clean import laid_out
 from larder.plans import layers as batch, quality
 from larder.schemas import TABLES
+from larder.session import sized_for
 from larder.sinks import exports, tables as sink
 from larder.sinks.tables import Layers
-from larder.streaming.incremental import load_new_csv
+from larder.streaming.incremental import load_new_files
 
 DB = Layers("t_bronze", "t_silver", "t_analytics")
 AS_OF = "2024-07-01"
@@ -139,7 +141,7 @@ def test_incremental_load_takes_each_file_once(spark, tmp_path):
         (folder / name).write_text("\n".join([",".join(table.names), *rows]) + "\n")
 
     def run():
-        load_new_csv(spark, str(folder), table, target, str(state), rejects="t_stream.rejects").awaitTermination()
+        load_new_files(spark, str(folder), table, target, str(state), rejects="t_stream.rejects").awaitTermination()
         return sorted(r["transaction_id"] for r in spark.table(target).collect())
 
     land("a.csv", "t1,2024-01-01,Sale,1,Card,Shop,N,A", "t2,2024-01-01,Sale,bad,Card,Shop,N,A")
@@ -151,6 +153,31 @@ def test_incremental_load_takes_each_file_once(spark, tmp_path):
     assert reasons == ["amount: not a valid decimal(18,2)", "wrong number of fields"]
 
 
+def test_incremental_load_of_json(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    spark.sql("CREATE SCHEMA IF NOT EXISTS t_stream")
+    target = sink.create_table(spark, TABLES["store_locations"], "t_stream")
+    for i in range(2):
+        (folder / f"{i}.json").write_text(json.dumps([{"store_id": f"s{i}", "postal_code": 75000 + i}]))
+        load_new_files(spark, str(folder), "store_locations", target, str(tmp_path / "state")).awaitTermination()
+    assert sorted((r["store_id"], r["postal_code"]) for r in spark.table(target).collect()) == [("s0", "75000"), ("s1", "75001")]
+
+
+def test_stored_transactions_are_sorted_without_a_shuffle(spark):
+    df = spark.range(3).selectExpr(
+        "CAST(id AS STRING) AS transaction_type", "CAST(id AS STRING) AS region", "current_date() AS transaction_date"
+    )
+    plan = laid_out(df, "financial_transactions")._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [transaction_type" in plan and "Exchange" not in plan
+
+
+def test_sized_for():
+    big = sized_for(100 * 1024**4, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert sized_for(10 * 1024**2, 8)["spark.sql.shuffle.partitions"] == "24"
+
+
 def test_profiles(spark):
     df = spark.createDataFrame([("a", None), ("a", 1), (None, 2)], "k string, v int")
     missing = {tuple(r) for r in quality.missing_values_profile({"t": df}).collect()}
