@@ -23,11 +23,18 @@ def total(c: Column) -> Column:
 
 
 def quotient(num: Column, den: Column, scale: int) -> Column:
-    """``num / den`` rounded to ``scale``; NULL when the divisor is zero.
-
-    ``num`` must be a decimal: an integer pair would divide as doubles.
+    """``num / den`` rounded once to ``scale``; NULL when the divisor is zero.
+
+    ``num`` is a decimal with at most four decimals (an integer pair would
+    divide as doubles), ``den`` a whole number or a decimal with two. Spark
+    gives a quotient fewer digits the wider its operands are, and with few
+    digits a value just below a tie becomes one. So operands of up to twenty
+    whole digits are narrowed first, for sixteen digits after the point; wider
+    ones divide as they are.
     """
-    return fixed(num / F.nullif(den, F.lit(0)), scale)
+    narrow = num.try_cast("decimal(24,4)") / F.nullif(den.try_cast("decimal(22,2)"), F.lit(0))
+    wide = num / F.nullif(den, F.lit(0))
+    return F.coalesce(fixed(narrow, scale), fixed(wide, scale))
 
 
 def mean(c: Column, scale: int) -> Column:

@@ -165,7 +165,7 @@ def test_incremental_load_of_json(spark, tmp_path):
 
 
 def test_stored_transactions_are_sorted_without_a_shuffle(spark):
-    df = spark.range(3).selectExpr(
+    df = spark.range(100).selectExpr(
         "CAST(id AS STRING) AS transaction_type", "CAST(id AS STRING) AS region", "current_date() AS transaction_date"
     )
     plan = laid_out(df, "financial_transactions")._jdf.queryExecution().executedPlan().toString()

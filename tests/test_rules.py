@@ -117,3 +117,15 @@ def test_integer_mean_and_percent(spark):
     df = spark.createDataFrame([(1,), (2,), (2,)], "x int")
     got = df.agg(num.mean_int(F.col("x"), 2), num.percent(num.count_if(F.col("x") == 2), F.count("*"))).first()
     assert tuple(got) == (Decimal("1.67"), Decimal("66.67"))
+
+
+def test_quotient_is_rounded_once(spark):
+    # 279543.4883691449...: at ten digits it would look like a tie at eight
+    df = spark.createDataFrame([(Decimal("44103576.16"), Decimal("157.77"))], "a decimal(28,2), b decimal(18,2)")
+    assert df.select(num.quotient(F.col("a"), F.col("b"), 8)).first()[0] == Decimal("279543.48836914")
+
+
+def test_quotient_of_huge_values(spark):
+    df = spark.createDataFrame([(Decimal(10) ** 24, Decimal(4)), (Decimal(1), Decimal(0))], "a decimal(28,2), b decimal(18,2)")
+    got = [r[0] for r in df.select(num.quotient(F.col("a"), F.col("b"), 2)).collect()]
+    assert got == [Decimal(10) ** 24 / 4, None]
