@@ -76,12 +76,12 @@ def typed(column: Column) -> Expr:
     return c
 
 
-def _faults(table: Table, lenient: tuple[str, ...] = ()) -> list[Expr]:
+def _faults(table: Table) -> list[Expr]:
     """One expression per possible fault: its message where it applies, else NULL."""
     found = []
     for column in table.columns:
         c = F.col(column.name)
-        if column.type != "string" and column.name not in lenient:
+        if column.type != "string":
             found.append(
                 F.when(c.isNotNull() & typed(column).isNull(), F.lit(f"{column.name}: not a valid {column.type}"))
             )
@@ -90,15 +90,13 @@ def _faults(table: Table, lenient: tuple[str, ...] = ()) -> list[Expr]:
                 F.when(F.length(c) > column.max_length, F.lit(f"{column.name}: longer than {column.max_length}"))
             )
         if column.name in table.primary_key:
-            # a lenient key that failed to parse is NULL by now
-            value = typed(column) if column.name in lenient else c
-            found.append(F.when(value.isNull(), F.lit(f"{column.name}: missing key")))
+            found.append(F.when(c.isNull(), F.lit(f"{column.name}: missing key")))
     return found
 
 
-def _split(rows: DataFrame, table: Table, broken: Expr | None = None, lenient: tuple[str, ...] = ()) -> Loaded:
+def _split(rows: DataFrame, table: Table, broken: Expr | None = None) -> Loaded:
     """Cast the good rows; list raw text and reasons of the others."""
-    faults = F.array_compact(F.array(*_faults(table, lenient)))
+    faults = F.array_compact(F.array(*_faults(table)))
     if broken is not None:
         # a row with the wrong number of fields has shifted values: report only that
         faults = F.when(broken, F.array(F.lit("wrong number of fields"))).otherwise(faults)
@@ -154,12 +152,23 @@ def judge_csv(rows: DataFrame, table: Table) -> Loaded:
 
 
 def judge_reviews(rows: DataFrame, table: Table) -> Loaded:
-    """Numbers that do not parse become NULL, timestamps are cut to their day.
+    """Text in a number field counts as missing, timestamps are cut to their day.
 
-    A bad date or a missing id still rejects the row.
+    A number too large for its column, a bad date or a missing id still rejects
+    the row.
     """
-    days = rows.withColumn("review_date", F.substring("review_date", 1, 10))
-    return _split(days, table, lenient=("review_id", "rating"))
+
+    def number_or_null(name: str) -> Expr:
+        return F.when(F.col(name).try_cast("decimal(38,0)").isNotNull(), F.col(name))
+
+    eased = rows.withColumns(
+        {
+            "review_id": number_or_null("review_id"),
+            "rating": number_or_null("rating"),
+            "review_date": F.substring("review_date", 1, 10),
+        }
+    )
+    return _split(eased, table)
 
 
 def judge_json(rows: DataFrame, table: Table) -> Loaded:

@@ -103,6 +103,7 @@ def tsv(tmp_path):
         ["4", "p", "r", "Name", "4", "not a date", "Title", "Text", "Cat"],
         ["5", "p", "r", "Name", "4", "2024-02-03", "Title", "Text"],
         ["6", "p", "r", "Name", "4", "2024-02-03", "Title", "Text", "Cat", "surplus"],
+        ["8", "p", "r", "Name", "123", "2024-02-03", "Title", "Text", "Cat"],
         ["7", "p", "r", " NULL ", "4", "", "  ", "Text", "Cat"],
     ]
     path.write_text("\n".join("\t".join(fields) for fields in lines) + "\n")
@@ -119,13 +120,15 @@ def test_reviews_tsv(spark, tsv):
     assert good[5]["product_category"] is None and good[6]["product_category"] == "Cat"
     assert good[7]["reviewer_name"] is None and good[7]["review_title"] is None and good[7]["review_date"] is None
     reasons = sorted(tuple(r["line_error"]) for r in loaded.rejects.collect())
-    assert reasons == [("review_date: not a valid date",), ("review_id: missing key",)]
+    assert reasons == [
+        ("rating: not a valid int",), ("review_date: not a valid date",), ("review_id: missing key",),
+    ]
     assert loaded.good.count() == 5
 
 
 def test_reviews_read_with_the_wrong_separator_load_nothing(spark, tsv):
     loaded = files.load_csv(spark, tsv, "product_reviews")
-    assert loaded.good.count() == 0 and loaded.rejects.count() == 7
+    assert loaded.good.count() == 0 and loaded.rejects.count() == 8
 
 
 def write_json(path, rows):
