@@ -6,7 +6,10 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
+from larder.operators.clean import CLEANINGS, laid_out  # noqa: E402
+from larder.schemas import TABLES  # noqa: E402
 from larder.session import build_session  # noqa: E402
+from larder.sources.star_schema import StarSchema  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -30,3 +33,13 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def tiny():
     return os.environ.get("LARDER_TEST_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def stored(spark, tiny, tmp_path_factory):
+    """Clean tables written once, as in service; call with the raw table's name."""
+    base = tmp_path_factory.mktemp("silver")
+    source = StarSchema(spark, tiny)
+    for table, spec in CLEANINGS.items():
+        laid_out(source.silver(table), table).write.parquet(f"{base}/{spec.target}")
+    return lambda table: spark.read.schema(TABLES[table].schema).parquet(f"{base}/{CLEANINGS[table].target}")

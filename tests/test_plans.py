@@ -3,8 +3,6 @@
 import pytest
 
 from larder.catalogue import QUERIES, Report
-from larder.operators.clean import CLEANINGS
-from larder.sources.star_schema import StarSchema
 
 
 def plan(df):
@@ -15,8 +13,8 @@ LAZY = [n for n in QUERIES if isinstance(QUERIES[n], Report)]
 
 
 @pytest.mark.parametrize("name", LAZY)
-def test_no_cross_join_and_no_python(spark, tiny, name):
-    p = plan(QUERIES[name](spark, tiny))
+def test_no_cross_join_and_no_python(stored, name):
+    p = plan(QUERIES[name].on(stored))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
         assert node not in p
 
@@ -28,16 +26,6 @@ def whole_plan_text(spark):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
-@pytest.fixture(scope="module")
-def stored(spark, tiny, tmp_path_factory):
-    """Clean tables written once, as in service."""
-    base = tmp_path_factory.mktemp("silver")
-    source = StarSchema(spark, tiny)
-    for table, spec in CLEANINGS.items():
-        source.silver(table).write.parquet(f"{base}/{spec.target}")
-    return lambda table: spark.read.parquet(f"{base}/{CLEANINGS[table].target}")
-
-
 def test_filters_and_columns_reach_the_scan(stored):
     p = plan(QUERIES["monthly_sales_mom"].on(stored))
     assert "EqualTo(transaction_type,Sale)" in p and "IsNotNull(amount)" in p
