@@ -61,7 +61,7 @@ GOLD = {
 }
 
 
-def run_together(spark: SparkSession, jobs: Iterable[Callable[[], None]], at_once: int = 4) -> None:
+def run_together(spark: SparkSession, jobs: Iterable[Callable[[], None]], at_once: int = 8) -> None:
     """Run independent table builds side by side, so small tables do not leave the cluster idle.
 
     The first failure is raised once the running builds have ended.

@@ -35,6 +35,7 @@ def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
 
 
