@@ -14,11 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.operators.clean import CLEANINGS
 from larder.plans import customers, gold, logistics, marketing, promotions, quality, reviews, sales, service
+from larder.plans import layers as batch
 from larder.schemas import TABLES
 from larder.session import scratch_folder
+from larder.sinks import tables as sink
 from larder.sinks.exports import SALES_EXPORTS, export_csv
+from larder.sinks.tables import Layers
 from larder.sources import files, landing
 from larder.sources.star_schema import StarSchema
+from larder.streaming.incremental import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +111,40 @@ def _reconciled(s: StarSchema) -> DataFrame:
     return files.reconcile_load(s.spark, path, "financial_transactions", good)
 
 
+def _own_layers(s: StarSchema) -> Layers:
+    """Layer databases of this run alone, stored in the shared scratch folder."""
+    location = scratch_folder(s.spark, "lake")
+    run = location.rsplit("-", 1)[1]
+    layers = Layers(*(f"{layer}_{run}" for layer in ("bronze", "silver", "analytics")))
+    sink.ensure_layers(s.spark, layers, location)
+    return layers
+
+
+def _batch(s: StarSchema) -> DataFrame:
+    """The whole batch into stored tables, then what they hold."""
+    layers = _own_layers(s)
+    sink.create_bronze(s.spark, layers.bronze)
+
+    def job(table: str):
+        raw = s.bronze(table)
+        return lambda: sink.append(raw, f"{layers.bronze}.{table}")
+
+    batch.run_together(s.spark, map(job, TABLES))
+    batch.build_silver(s.spark, layers)
+    batch.build_gold(s.spark, layers, AS_OF)
+    return batch.lake_inventory(s.spark, layers)
+
+
+def _loaded_once(s: StarSchema) -> DataFrame:
+    """The landing folder loaded twice through the incremental load: every file counts once."""
+    folder = landing.transactions_csv(s)
+    target = sink.create_table(s.spark, TABLES["financial_transactions"], _own_layers(s).bronze)
+    state = scratch_folder(s.spark, "load-state")
+    for _ in range(2):
+        load_new_files(s.spark, folder, "financial_transactions", target, state).awaitTermination()
+    return sink.read_table(s.spark, target)
+
+
 def _overview(s: StarSchema) -> DataFrame:
     return quality.table_overview(
         {t: (s.bronze(t), day, CLEANINGS[t].key) for t, day in PERIODS.items()}
@@ -264,5 +302,8 @@ QUERIES: dict[str, Query] = {
     "load_stores_json": _stage(
         lambda s: files.load_json(s.spark, landing.stores_json(s), "store_locations", multiLine=False).good
     ),
+    "load_transactions_incremental": _stage(_loaded_once),
     "export_region_sales_csv": _stage(_exported),
+    # the batch into catalog tables
+    "stored_layers": _stage(_batch),
 }

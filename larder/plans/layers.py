@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.operators.clean import CLEANINGS, clean, laid_out
 from larder.plans import gold, quality
@@ -114,3 +115,23 @@ def bronze_volumes(spark: SparkSession, layers: Layers = Layers()) -> DataFrame:
 
 def silver_volumes(spark: SparkSession, layers: Layers = Layers()) -> DataFrame:
     return quality.volumes({c.target: spark.table(f"{layers.silver}.{c.target}") for c in CLEANINGS.values()})
+
+
+def lake_inventory(spark: SparkSession, layers: Layers = Layers()) -> DataFrame:
+    """One row per stored table: its layer, rows, and key figures where a key is declared."""
+    tables = [("bronze", layers.bronze, n) for n in TABLES]
+    tables += [("silver", layers.silver, c.target) for c in CLEANINGS.values()]
+    tables += [("analytics", layers.analytics, n) for n in GOLD]
+
+    def figures(layer: str, database: str, name: str) -> DataFrame:
+        table = f"{database}.{name}"
+        if sink.declared_key(spark, table):
+            found = sink.check_key(spark, table)
+        else:
+            unknown = F.lit(None).cast("bigint")
+            found = quality.row_count(spark.table(table)).select(
+                "nb", unknown.alias("nb_distinct"), unknown.alias("nb_null_keys")
+            )
+        return found.select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "*")
+
+    return reduce(DataFrame.unionByName, [figures(*t) for t in tables]).orderBy("layer", "table_name")

@@ -30,11 +30,13 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def ensure_layers(spark: SparkSession, layers: Layers = Layers()) -> None:
+def ensure_layers(spark: SparkSession, layers: Layers = Layers(), location: str | None = None) -> None:
+    """Create the three databases where absent, under ``location`` or in the warehouse folder."""
     for layer, comment in LAYER_COMMENTS.items():
+        name = getattr(layers, layer)
+        place = f" LOCATION {_quoted(f'{location}/{name}')}" if location else ""
         spark.sql(
-            f"CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:db) COMMENT {_quoted(comment)}",
-            args={"db": getattr(layers, layer)},
+            f"CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:db) COMMENT {_quoted(comment)}{place}", args={"db": name}
         )
 
 
@@ -97,7 +99,7 @@ def check_key(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).agg(
         F.count("*").alias("nb"),
         F.count_distinct(*key).alias("nb_distinct"),
-        F.coalesce(F.sum(missing), F.lit(0)).alias("nb_null_keys"),
+        F.coalesce(F.sum(missing), F.lit(0)).cast("bigint").alias("nb_null_keys"),
     )
 
 
