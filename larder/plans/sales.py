@@ -232,29 +232,20 @@ def top_regions(per_region: DataFrame, limit: int = 3) -> DataFrame:
 
     Ties go to the region listed first by total sales.
     """
-    measures = {
-        "total_sales": "total_sales",
-        "nb_transactions": "nb_transactions",
-        "avg_transaction_value": "avg_transaction_value",
-    }
+    measures = ["total_sales", "nb_transactions", "avg_transaction_value"]
     return ranked_by_each(per_region, "region", measures, limit, tie="total_sales")
 
 
-def ranked_by_each(
-    df: DataFrame, label: str, measures: dict[str, str], limit: int, tie: str
-) -> DataFrame:
-    long = df.select(
-        F.col(label),
-        F.col(tie).alias("_tie"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("metric"), F.col(c).cast("decimal(28,8)").alias("value"))
-                    for name, c in measures.items()
-                ]
-            )
-        ).alias("m"),
-    ).select(label, "_tie", "m.metric", "m.value")
+def ranked_by_each(df: DataFrame, label: str, measures: list[str], limit: int, tie: str) -> DataFrame:
+    """First ``limit`` labels on each measure, one row per measure and position.
+
+    For report results with one row per label. Equal values follow ``tie``,
+    largest first, then the label.
+    """
+    values = [
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("decimal(28,8)").alias("value")) for m in measures
+    ]
+    long = df.select(label, F.col(tie).alias("_tie"), F.inline(F.array(*values)))
     order = Window.partitionBy("metric").orderBy(
         F.col("value").desc_nulls_last(), F.col("_tie").desc_nulls_last(), F.col(label)
     )

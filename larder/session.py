@@ -39,10 +39,13 @@ def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
-def build_session(app: str = "larder", **conf: str) -> SparkSession:
-    """Session with the defaults above; dots in option names are written as ``__``."""
+def build_session(app: str = "larder", sizing: dict[str, str] | None = None, **conf: str) -> SparkSession:
+    """Session with the defaults above, a sizing if given, and single options.
+
+    Dots in option names are written as ``__``: ``spark__master="local[8]"``.
+    """
     builder = SparkSession.builder.appName(app)
-    options = DEFAULTS | {k.replace("__", "."): v for k, v in conf.items()}
+    options = DEFAULTS | (sizing or {}) | {k.replace("__", "."): v for k, v in conf.items()}
     for name, value in options.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
