@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larder.llm import mixing
+from larder.llm import mixing, tokens
 from larder.llm.common import stored, table
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed public vocabulary lies; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.round_trip(table(spark, folder, "documents"), tokenizer_file())
+
+
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = mixing.measured(table(spark, folder, "documents").select("doc_id", "source", "text")).drop("text")
     mixed = mixing.mixed(stored(docs, "mix-sizes"))
@@ -21,5 +32,6 @@ def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_wavelet_tokens": op2_wavelet_tokens,
     "op6_mix_sources": op6_mix_sources,
 }
