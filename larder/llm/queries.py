@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larder.llm import mixing, tokens
+from larder.llm import block_names, mixing, tokens
 from larder.llm.common import stored, table
 
 
@@ -31,7 +31,12 @@ def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return block_names.exact_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op2_wavelet_tokens": op2_wavelet_tokens,
     "op6_mix_sources": op6_mix_sources,
+    "op7_exact_dedup": op7_exact_dedup,
 }

@@ -46,6 +46,17 @@ JOIN (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END
   ON p.absent = t.absent AND p.src = t.src
 """
 
+EXACT = """
+SELECT doc_id,
+       max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+       count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY coalesce(text, ''))
+         AND row_number() OVER (PARTITION BY coalesce(text, ''), doc_id) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+"""
+
 ORACLE_SQL = {
     "op6_mix_sources": MIX,
+    "op7_exact_dedup": EXACT,
 }
