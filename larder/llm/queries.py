@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larder.llm import block_names, decontaminate, mixing, tokens
+from larder.llm import block_names, decontaminate, mixing, simhash, tokens
 from larder.llm.common import stored, table
 
 
@@ -19,6 +19,15 @@ def op2_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.round_trip(table(spark, folder, "documents"), tokenizer_file())
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select(
+        F.expr("if(no_id, null, id)").alias("doc_id"),
+        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -42,6 +51,7 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_wavelet_tokens": op2_wavelet_tokens,
+    "op3_simhash": op3_simhash,
     "op4_decontaminate": op4_decontaminate,
     "op6_mix_sources": op6_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
