@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larder.llm import block_names, decontaminate, mixing, simhash, tokens
+from larder.llm import block_names, decontaminate, mixing, simhash, suffixes, tokens
 from larder.llm.common import stored, table
 
 
@@ -49,10 +49,22 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return block_names.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op9_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffixes.without_repeats(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op2_wavelet_tokens": op2_wavelet_tokens,
     "op3_simhash": op3_simhash,
     "op4_decontaminate": op4_decontaminate,
     "op6_mix_sources": op6_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_suffix_array": op9_suffix_array,
 }
