@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larder.llm import block_names, decontaminate, mixing, simhash, suffixes, tokens
+from larder.llm import block_names, decontaminate, language, licences, mixing, simhash, site_lines, suffixes, tokens, toxicity
 from larder.llm.common import stored, table
 
 
@@ -15,6 +15,17 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _remainder(of: int):
+    """crc32 of the id as text, modulo ``of``; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % of
+
+
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", _remainder(4) == 2)
+    model = language.trained(docs.where("NOT held_out").select("text", "lang"))
+    return language.identified(docs.select("doc_id", "held_out", "text"), model)
+
+
 def op2_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.round_trip(table(spark, folder, "documents"), tokenizer_file())
 
@@ -33,6 +44,10 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scanned(table(spark, folder, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = mixing.measured(table(spark, folder, "documents").select("doc_id", "source", "text")).drop("text")
     mixed = mixing.mixed(stored(docs, "mix-sizes"))
@@ -49,6 +64,10 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return block_names.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op8_site_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return site_lines.without_boilerplate(table(spark, folder, "pages"))
+
+
 def op9_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     cut = suffixes.without_repeats(table(spark, folder, "documents"))
     return cut.select(
@@ -60,11 +79,21 @@ def op9_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", _remainder(5) == 0)
+    model = toxicity.trained(docs.where("NOT held_out"), table(spark, folder, "labels"))
+    return toxicity.scored(docs, model)
+
+
 QUERIES = {
+    "op1_language": op1_language,
     "op2_wavelet_tokens": op2_wavelet_tokens,
     "op3_simhash": op3_simhash,
     "op4_decontaminate": op4_decontaminate,
+    "op5_licences": op5_licences,
     "op6_mix_sources": op6_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_site_lines": op8_site_lines,
     "op9_suffix_array": op9_suffix_array,
+    "op10_toxicity": op10_toxicity,
 }

@@ -25,8 +25,10 @@ from larder.session import scratch_folder
 END = 1
 SHARD_TOKENS = 1 << 20
 # words whose ids a worker remembers; beyond it starts anew
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
+# punctuation that is in no special token and in no contraction
+_CLOSING = b"!\"#$%&()*+,-./:;=?@[]^_`{}~\\"
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -34,9 +36,10 @@ class WordEncoder(dict):
     """Ids of white-space separated words, as packed bytes.
 
     The tokenizer never joins text across ASCII white space, so a text's ids are
-    its words' ids in order. A comma or full stop after an ASCII letter starts a
-    piece of its own and is looked up apart from its word. Both rest on how the
-    tokenizer cuts a text before its merges; ``split_safe`` checks for that.
+    its words' ids in order. ASCII punctuation at the end of a word, after a
+    letter or digit, is a piece of its own and is looked up apart from the rest.
+    Both rest on how the tokenizer cuts a text before its merges;
+    ``split_safe`` checks for that.
     """
 
     def __init__(self, path: str):
@@ -49,33 +52,29 @@ class WordEncoder(dict):
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.split_safe = self._is_split_safe()
-        self.stops = {m: self._packed(chr(m)) for m in b".,"}
 
     def _is_split_safe(self) -> bool:
-        probe = "Ab, cd.\tEf\n gh, don't.\x0b\x0cij \r1, 2. É, é."
-        pieces = probe.replace(",", " ,").replace(".", " .").split()
-        return self._ids(probe) == [i for piece in pieces for i in self._ids(piece)]
+        probe = "Ab, cd.\tEf!!\n gh?). don't.\x0b\x0cij \r1, 2. É, é.;"
+        pieces = [p for word in probe.split() for p in self._parted(word.encode()) if p]
+        return self._ids(probe) == [i for piece in pieces for i in self._ids(piece.decode())]
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _packed(self, text: str) -> bytes:
-        return np.array(self._ids(text), self.kind).tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        """Only words that end in a stop get here: ``learn`` has entered all others."""
-        return self[word[:-1]] + self.stops[word[-1]]
-
     @staticmethod
-    def _stopped(word: bytes) -> bool:
-        return word[-1] in b".," and len(word) > 1 and word[-2:-1].isalpha()
+    def _parted(word: bytes) -> tuple[bytes, bytes]:
+        """A word and the punctuation at its end, which is left with the word where they might belong together."""
+        core = word.rstrip(_CLOSING)
+        if core and len(core) < len(word) and core.decode()[-1].isalnum():
+            return core, word[len(core) :]
+        return word, b""
 
     def learn(self, words: set[bytes]) -> None:
         """Enter the words not known yet, letter words in one call to the tokenizer."""
         if len(self) + len(words) > REMEMBERED:
             self.clear()
-        new = {w[:-1] if self._stopped(w) else w for w in words if w not in self}
-        new = [w.decode() for w in new if w not in self]
+        parted = {w: self._parted(w) for w in words if w not in self}
+        new = [w.decode() for w in set(chain.from_iterable(parted.values())) if w and w not in self]
         plain = [w for w in new if w.isalpha() and len(w) < 64]
         rest = [w for w in new if not (w.isalpha() and len(w) < 64)]
         if plain:
@@ -91,11 +90,14 @@ class WordEncoder(dict):
                 rest += plain
         for word, encoding in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             self[word.encode()] = np.array(encoding.ids, self.kind).tobytes()
+        for word, (core, stop) in parted.items():
+            if stop:
+                self[word] = self[core] + self[stop]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
         if not self.split_safe:
-            return [self._packed(text) for text in texts]
+            return [np.array(self._ids(text), self.kind).tobytes() for text in texts]
         split = []
         for text in texts:
             raw = text.encode()
@@ -115,7 +117,7 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[tuple[list, list]]:
+def _pieces(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[tuple[list, list]]:
     """Ids and texts of some documents at a time, about ``most`` characters."""
     for batch in batches:
         names, texts, held = [], [], 0
