@@ -70,7 +70,7 @@ RULES = [
 ]
 
 # a sentence ends at a line break that is not inside a sentence, or at a mark followed by white space
-_END = re.compile(r"(?<=[.!?;:])\s+|\n\s*\n")
+_END = re.compile(r"(?<=[.!?;])\s+|(?<=:)[ \t]*\n|\n\s*\n")
 _COMMENT = re.compile(r"^[\s#*/;%>-]+", re.MULTILINE)
 # every known sentence holds one of these
 _MAYBE = re.compile(r"licen[cs]|rights reserved|permission|redistribut|warrant|copyright|endorse|gnu general")

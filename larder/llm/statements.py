@@ -56,7 +56,38 @@ SELECT doc_id,
 FROM documents
 """
 
+_BLOCK_TAGS = (
+    "(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main"
+    "|nav|ol|p|pre|section|table|td|th|title|tr|ul)(?:\\s[^<>]*)?/?>"
+)
+SITE_LINES = rf"""
+WITH bare AS (
+  SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
+         regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<!--.*?-->', chr(10), 'g'),
+           '(?is)<script(?:\s[^<>]*)?>.*?</script\s*>', chr(10), 'g'),
+           '(?is)<style(?:\s[^<>]*)?>.*?</style\s*>', chr(10), 'g') AS t
+  FROM pages),
+lined AS (
+  SELECT page_id, host, list_filter(list_transform(string_split(regexp_replace(regexp_replace(
+           regexp_replace(t, '{_BLOCK_TAGS}', chr(10), 'g'), '<[!/a-zA-Z][^<>]*>', '', 'g'), '[ \t\r\f]+', ' ', 'g'), chr(10)),
+           lambda x: trim(x)), lambda x: x <> '') AS lines,
+         row_number() OVER () AS r
+  FROM bare),
+totals AS (SELECT host, count(*) AS pages FROM lined GROUP BY host),
+line AS (SELECT r, host, unnest(list_distinct(lines)) AS line FROM lined),
+common AS (
+  SELECT l.host, l.line FROM line l JOIN totals t ON l.host = t.host
+  GROUP BY l.host, l.line, t.pages
+  HAVING t.pages >= 10 AND count(*) > 1 AND count(*) > t.pages * 0.1::DOUBLE),
+listed AS (SELECT host, list(line) AS common FROM common GROUP BY host)
+SELECT p.page_id, p.host, CAST(len(p.lines) AS BIGINT) AS n_lines,
+       CAST(len(p.lines) - len(list_filter(p.lines, lambda x: NOT list_contains(coalesce(c.common, []), x))) AS BIGINT) AS n_dropped,
+       array_to_string(list_filter(p.lines, lambda x: NOT list_contains(coalesce(c.common, []), x)), chr(10)) AS kept_text
+FROM lined p LEFT JOIN listed c ON p.host = c.host
+"""
+
 ORACLE_SQL = {
+    "op8_site_lines": SITE_LINES,
     "op6_mix_sources": MIX,
     "op7_exact_dedup": EXACT,
 }
