@@ -18,7 +18,7 @@ from larder.plans import layers as batch
 from larder.schemas import TABLES
 from larder.session import scratch_folder
 from larder.sinks import tables as sink
-from larder.sinks.exports import SALES_EXPORTS, export_csv
+from larder.sinks.exports import PROMOTION_EXPORTS, SALES_EXPORTS, export_csv
 from larder.sinks.tables import Layers
 from larder.sources import files, landing
 from larder.sources.star_schema import StarSchema
@@ -91,24 +91,35 @@ def _stage(report: Callable[[StarSchema], DataFrame]) -> Query:
     return lambda spark, folder: report(StarSchema(spark, folder))
 
 
-def _exported(s: StarSchema) -> DataFrame:
-    per_region = sales.filtered_region_sales(s.silver("financial_transactions"))
-    target = export_csv(per_region, scratch_folder(s.spark, "export"), SALES_EXPORTS["regions"])
-    schema = ", ".join(f"{c} string" for c in per_region.columns)
-    return s.spark.read.option("header", True).schema(schema).csv(target)
+def _export(table: str, report: Callable[[DataFrame], DataFrame], name: str) -> Query:
+    """A dashboard table written as CSV and read back as text."""
 
+    def run(s: StarSchema) -> DataFrame:
+        rows = report(s.silver(table))
+        target = export_csv(rows, scratch_folder(s.spark, "export"), name)
+        schema = ", ".join(f"{c} string" for c in rows.columns)
+        return s.spark.read.option("header", True).schema(schema).csv(target)
 
-def _reject_reasons(s: StarSchema) -> DataFrame:
-    rejects = files.validate_load(s.spark, landing.transactions_csv(s), "financial_transactions")
-    return rejects.select(F.explode(files.ERRORS).alias("reason")).groupBy("reason").agg(
-        F.count("*").alias("nb_rows")
-    )
+    return _stage(run)
+
+
+def _reject_reasons(landed: Callable[[StarSchema], str], table: str) -> Query:
+    """How many rows of a landing file are rejected for which reason, whatever file they are in."""
+
+    def run(s: StarSchema) -> DataFrame:
+        rejects = files.validate_load(s.spark, landed(s), table).select(F.explode(files.ERRORS).alias("reason"))
+        reason = F.regexp_replace("reason", "^(not valid JSON).*", "$1")
+        return rejects.withColumn("reason", reason).groupBy("reason").agg(F.count("*").alias("nb_rows"))
 
+    return _stage(run)
 
-def _reconciled(s: StarSchema) -> DataFrame:
-    path = landing.transactions_csv(s)
-    good = files.load_csv(s.spark, path, "financial_transactions").good
-    return files.reconcile_load(s.spark, path, "financial_transactions", good)
+
+def _reconciled(landed: Callable[[StarSchema], str], table: str) -> Query:
+    def run(s: StarSchema) -> DataFrame:
+        path = landed(s)
+        return files.reconcile_load(s.spark, path, table, files.load(s.spark, path, table).good)
+
+    return _stage(run)
 
 
 def _own_layers(s: StarSchema) -> Layers:
@@ -176,7 +187,6 @@ QUERIES: dict[str, Query] = {
     "income_bracket_distribution": _customers(customers.income_bracket_distribution),
     "region_gender_distribution": _customers(customers.region_gender_distribution),
     # promotions
-    "sales_promotion_overlap": _tx_promos(promotions.sales_promotion_overlap),
     "promo_impact": _tx_promos(promotions.promo_impact),
     "category_promo_sensitivity": _promos(promotions.category_promo_sensitivity),
     "discount_band_distribution": _promos(promotions.discount_band_distribution),
@@ -217,7 +227,6 @@ QUERIES: dict[str, Query] = {
     "filtered_monthly_sales": _tx(lambda t: sales.filtered_monthly_sales(t, **SOME_SALES)),
     "filtered_region_sales": _tx(lambda t: sales.filtered_region_sales(t, **SOME_SALES)),
     "filtered_weekday_sales": _tx(lambda t: sales.filtered_weekday_sales(t, **SOME_SALES)),
-    "monthly_sales_no_selection": _tx(lambda t: sales.filtered_monthly_sales(t, regions=[])),
     "sales_kpis": _tx(lambda t: sales.sales_kpis(_monthly(t))),
     "best_month": _tx(lambda t: sales.best_month(_monthly(t))),
     "monthly_rollup_all_regions": _tx(lambda t: sales.monthly_rollup_all_regions(_monthly(t))),
@@ -232,12 +241,11 @@ QUERIES: dict[str, Query] = {
     "campaign_roi_top50": _campaigns_tx(_dashboard()),
     "campaign_type_table": _campaigns(marketing.campaign_type_table),
     "audience_table": _campaigns(marketing.audience_table),
-    "marketing_kpis": _campaigns_tx(lambda mc, tx: marketing.marketing_kpis(_dashboard()(mc, tx))),
+    "marketing_kpis": _campaigns_tx(lambda mc, tx: marketing.marketing_kpis(_dashboard(None)(mc, tx))),
     "top10_campaigns": _campaigns_tx(lambda mc, tx: marketing.top_campaigns(_dashboard()(mc, tx))),
     "top3_campaigns": _campaigns_tx(lambda mc, tx: marketing.top_campaigns(_dashboard()(mc, tx), 3)),
     "best_campaign_type": _campaigns(lambda mc: marketing.best_campaign_type(marketing.campaign_type_table(mc))),
-    "low_roi_alert": _campaigns_tx(lambda mc, tx: marketing.low_roi_alert(_dashboard()(mc, tx))),
-    "low_roi_alert_all_campaigns": _campaigns_tx(lambda mc, tx: marketing.low_roi_alert(_dashboard(None)(mc, tx))),
+    "low_roi_alert": _campaigns_tx(lambda mc, tx: marketing.low_roi_alert(_dashboard(None)(mc, tx))),
     # promotion dashboard
     "promo_regions": _promos(promotions.promo_regions),
     "promo_categories": _promos(promotions.promo_categories),
@@ -293,17 +301,30 @@ QUERIES: dict[str, Query] = {
     "load_transactions_csv": _stage(
         lambda s: files.load_csv(s.spark, landing.transactions_csv(s), "financial_transactions").good
     ),
-    "load_transactions_rejects": _stage(_reject_reasons),
-    "reconcile_transactions_load": _stage(_reconciled),
+    "load_transactions_rejects": _reject_reasons(landing.transactions_csv, "financial_transactions"),
+    "reconcile_transactions_load": _reconciled(landing.transactions_csv, "financial_transactions"),
     "load_reviews_tsv": _stage(lambda s: files.load_reviews_tsv(s.spark, landing.reviews_tsv(s)).good),
     "load_inventory_json": _stage(
-        lambda s: files.load_json(s.spark, landing.inventory_json(s), "inventory", multiLine=False).good
+        lambda s: files.load_json(s.spark, landing.inventory_json(s), "inventory").good
     ),
+    "load_inventory_rejects": _reject_reasons(landing.inventory_json, "inventory"),
+    "reconcile_inventory_load": _reconciled(landing.inventory_json, "inventory"),
     "load_stores_json": _stage(
-        lambda s: files.load_json(s.spark, landing.stores_json(s), "store_locations", multiLine=False).good
+        lambda s: files.load_json(s.spark, landing.stores_json(s), "store_locations").good
     ),
+    "load_stores_rejects": _reject_reasons(landing.stores_json, "store_locations"),
+    "reconcile_stores_load": _reconciled(landing.stores_json, "store_locations"),
     "load_transactions_incremental": _stage(_loaded_once),
-    "export_region_sales_csv": _stage(_exported),
+    "export_region_sales_csv": _export("financial_transactions", sales.filtered_region_sales, SALES_EXPORTS["regions"]),
+    "export_monthly_sales_csv": _export("financial_transactions", sales.filtered_monthly_sales, SALES_EXPORTS["monthly"]),
+    "export_weekday_sales_csv": _export("financial_transactions", sales.filtered_weekday_sales, SALES_EXPORTS["weekdays"]),
+    "export_promo_categories_csv": _export("promotions_data", promotions.category_sensitivity, PROMOTION_EXPORTS["categories"]),
+    "export_promo_regions_csv": _export("promotions_data", promotions.promo_by_region, PROMOTION_EXPORTS["regions"]),
+    "export_promo_discounts_csv": _export(
+        "promotions_data",
+        lambda p: promotions.discount_ranges(p, SOME_REGIONS, SOME_CATEGORIES, SOME_TYPES),
+        PROMOTION_EXPORTS["discounts"],
+    ),
     # the batch into catalog tables
     "stored_layers": _stage(_batch),
 }

@@ -3,7 +3,7 @@
 The relation is ``fact.key = interval.key AND fact.date BETWEEN start AND end``.
 With a handful of regions an equi-join on the key alone gives a handful of huge
 partitions, and a fact inside n intervals appears n times. Aggregates over that
-join do not need its rows, so two of the three operators never build them:
+join do not need its rows, so neither operator builds them:
 
 * ``count_active`` puts the number of covering intervals on each (key, day);
 * ``totals_within`` gives each interval the totals of the facts it covers.
@@ -12,8 +12,6 @@ Both reduce the facts to (key, day) first, map side, and then run one window per
 key over at most one row per calendar day. Their cost does not depend on how
 long the intervals are or how many of them overlap.
 
-``left_interval_join`` is the row-level join, spread over (key, month).
-
 An interval with a NULL start, end or key covers nothing.
 """
 
@@ -142,49 +140,3 @@ def totals_within(
         for n in names
     ]
     return edged.join(upto, ["_key", "_day"], "left").groupBy(*group).agg(*signed)
-
-
-def left_interval_join(
-    facts: DataFrame,
-    intervals: DataFrame,
-    key: str,
-    date: str,
-    start: str,
-    end: str,
-) -> DataFrame:
-    """Every fact with every interval covering it; facts without one keep NULLs.
-
-    Intervals are repeated once per calendar month they touch and both sides
-    meet on (key, month), so the work splits far beyond the number of keys. A
-    fact lies in exactly one month, so no match is found twice. Months outside
-    the facts' own range are never produced, which bounds open-ended intervals.
-    Interval columns that share a name with a fact column are dropped, except
-    that they still take part in the match.
-    """
-    first = facts.agg(F.min(date)).scalar()
-    last = facts.agg(F.max(date)).scalar()
-    months = F.sequence(
-        F.trunc(F.greatest(F.col(start), first), "month"),
-        F.trunc(F.least(F.col(end), last), "month"),
-        F.expr("interval 1 month"),
-    )
-    reach = (F.col(end) >= first) & (F.col(start) <= last)
-    taken = set(facts.columns)
-    kept = [c for c in intervals.columns if c not in taken]
-    spread = (
-        _usable(intervals, key, start, end)
-        .filter(reach)
-        .select(
-            F.col(key).alias("_key"),
-            F.col(start).alias("_start"),
-            F.col(end).alias("_end"),
-            *kept,
-            F.explode(months).alias("_month"),
-        )
-    )
-    match = (
-        (F.col(key) == F.col("_key"))
-        & (F.trunc(F.col(date), "month") == F.col("_month"))
-        & F.col(date).between(F.col("_start"), F.col("_end"))
-    )
-    return facts.join(spread, match, "left").drop("_key", "_start", "_end", "_month")

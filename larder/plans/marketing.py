@@ -79,8 +79,8 @@ def audience_performance(campaigns: DataFrame, limit: int | None = 15) -> DataFr
 # --- dashboard ---------------------------------------------------------------
 
 
-def campaign_dashboard(campaigns: DataFrame, transactions: DataFrame, limit: int | None = 50) -> DataFrame:
-    """Unrounded return per campaign; periods of one campaign add up."""
+def campaign_dashboard(campaigns: DataFrame, transactions: DataFrame, limit: int | None = None) -> DataFrame:
+    """Unrounded return per campaign; periods of one campaign add up. ``limit`` is for a listing."""
     sales = _campaign_sales(campaigns.filter("budget > 0"), transactions, _IDENTITY)
     report = sales.select(
         "campaign_id", "campaign_name", "campaign_type", "region", "budget", "reach",
@@ -125,7 +125,7 @@ def audience_table(campaigns: DataFrame, limit: int | None = 15) -> DataFrame:
 
 
 def marketing_kpis(dashboard: DataFrame) -> DataFrame:
-    """Totals over the listed campaigns only, so the listing's limit applies."""
+    """Totals over the campaigns of ``dashboard``; give it without a limit for all of them."""
     budget, sales = F.sum("budget"), F.sum("total_sales")
     return dashboard.agg(
         F.coalesce(budget, F.lit(0)).cast("decimal(28,2)").alias("total_budget"),
@@ -146,7 +146,7 @@ def best_campaign_type(types: DataFrame) -> DataFrame:
 
 
 def low_roi_alert(dashboard: DataFrame) -> DataFrame:
-    """Listed campaigns that earn less than they cost: how many, and their budget."""
+    """Campaigns of ``dashboard`` that earn less than they cost: how many, and their budget."""
     return dashboard.filter(F.col("roi_ratio") < LOW_ROI).agg(
         F.count("*").alias("nb_campaigns"),
         F.coalesce(F.sum("budget"), F.lit(0)).cast("decimal(28,2)").alias("total_budget"),

@@ -19,18 +19,20 @@ DEFAULTS = {
 MiB = 1024**2
 
 
-def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+def sized_for(input_bytes: int, cores: int, most: int | None = None) -> dict[str, str]:
     """Partition settings for a batch over ``input_bytes`` on ``cores``.
 
     Shuffles start from enough partitions to keep each near 256 MiB, which a
     task sorts in memory, and at least three per core; adaptive execution merges
-    those that turn out small. Beyond 100,000 partitions the bookkeeping costs
-    more than the spill it saves, so 100 TB means about 1 GiB each. 256 MiB is
-    also the size of scan splits and of merged partitions, hence of the files a
-    table is written in.
+    those that turn out small. The number grows with the input; a driver too
+    small for the bookkeeping of so many can name the ``most`` it takes, at the
+    price of larger partitions. 256 MiB is also the size of scan splits and of
+    merged partitions, hence of the files a table is written in.
     """
     target = 256 * MiB
-    partitions = min(max(input_bytes // target + 1, 3 * cores), 100_000)
+    partitions = max(input_bytes // target + 1, 3 * cores)
+    if most:
+        partitions = min(partitions, most)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target),

@@ -14,6 +14,7 @@ from larder.schemas import TABLES, Column, Table
 
 CORRUPT = "_corrupt_record"
 ERRORS = "line_error"
+SOURCE = "_source_file"
 
 # Options of the three file formats and the texts that mean NULL.
 CSV_OPTIONS = {
@@ -23,7 +24,6 @@ CSV_OPTIONS = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
-    "multiLine": "true",
 }
 TSV_OPTIONS = {
     "header": "true",
@@ -32,7 +32,6 @@ TSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
 }
-JSON_OPTIONS = {"multiLine": "true"}
 NULL_TEXTS = ("", "NULL")
 DATE_PATTERNS = ("yyyy-M-d", "M/d/yyyy", "d-MMM-yyyy")
 
@@ -72,7 +71,7 @@ def typed(column: Column) -> Expr:
         return to_date(c)
     if column.parse_as:
         # through a decimal: whole-number columns round 4.5 to 5 and reject text
-        return c.try_cast(column.parse_as).cast(column.type)
+        return c.try_cast(column.parse_as).try_cast(column.type)
     return c
 
 
@@ -95,11 +94,14 @@ def _faults(table: Table) -> list[Expr]:
 
 
 def _split(rows: DataFrame, table: Table, broken: Expr | None = None) -> Loaded:
-    """Cast the good rows; list raw text and reasons of the others."""
+    """Cast the good rows; list raw text and reasons of the others.
+
+    ``broken`` is the reason why a record as a whole cannot be read, else NULL.
+    """
     faults = F.array_compact(F.array(*_faults(table)))
     if broken is not None:
-        # a row with the wrong number of fields has shifted values: report only that
-        faults = F.when(broken, F.array(F.lit("wrong number of fields"))).otherwise(faults)
+        # the fields of such a record are shifted or missing: report only that
+        faults = F.when(broken.isNotNull(), F.array(broken)).otherwise(faults)
     judged = rows.withColumn(ERRORS, faults)
     good = judged.filter(F.size(ERRORS) == 0).select(*[typed(c).alias(c.name) for c in table.columns])
     as_line = F.to_csv(F.struct(*table.names))
@@ -113,9 +115,9 @@ def csv_text(reader, path: str, table: Table, **options) -> DataFrame:
 
     ``reader`` is ``spark.read`` or ``spark.readStream``. Column pruning is off
     for this scan: with it, Spark judges the number of fields on the columns a
-    query happens to use. Quoted line breaks are supported by default; pass
-    ``multiLine=False`` for feeds without them, so that large files split over
-    many tasks.
+    query happens to use. Large files split over many tasks; a feed with line
+    breaks inside quotes needs ``multiLine=True``, which reads each file in one
+    task.
     """
     schema = T.StructType([*table.text_schema.fields, T.StructField(CORRUPT, T.StringType())])
     raw = (
@@ -136,19 +138,28 @@ def tsv_text(reader, path: str, table: Table, **options) -> DataFrame:
 
 
 def json_text(reader, path: str, table: Table, **options) -> DataFrame:
-    """Objects of an outer array, or one per line with ``multiLine=False``; fields as text.
+    """One object, or one array of objects, per line; fields as text, plus what does not parse.
 
-    A file holding one array is read by one task. Large feeds should come as
-    many files or as one object per line.
+    Large files split over many tasks. An array over several lines needs
+    ``multiLine=True``: each file is then one record, read by one task, and if
+    any of it does not parse the whole file is.
     """
-    return reader.options(**(JSON_OPTIONS | options)).schema(table.text_schema).json(path)
+    schema = T.StructType([*table.text_schema.fields, T.StructField(CORRUPT, T.StringType())])
+    raw = (
+        reader.options(**options)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .schema(schema)
+        .json(path)
+    )
+    return raw.select(*table.names, CORRUPT, F.col("_metadata.file_path").alias(SOURCE))
 
 
 _TEXT = {"csv": csv_text, "tsv": tsv_text, "json": json_text}
 
 
 def judge_csv(rows: DataFrame, table: Table) -> Loaded:
-    return _split(rows, table, F.col(CORRUPT).isNotNull())
+    return _split(rows, table, F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong number of fields")))
 
 
 def judge_reviews(rows: DataFrame, table: Table) -> Loaded:
@@ -172,8 +183,12 @@ def judge_reviews(rows: DataFrame, table: Table) -> Loaded:
 
 
 def judge_json(rows: DataFrame, table: Table) -> Loaded:
-    """Numbers written as text are accepted, numeric postal codes become text."""
-    return _split(rows, table)
+    """Numbers written as text are accepted, numeric postal codes become text.
+
+    What does not parse is one reject, with the file it is in; none of its fields is stored.
+    """
+    broken = F.when(F.col(CORRUPT).isNotNull(), F.concat(F.lit("not valid JSON: "), SOURCE))
+    return _split(rows, table, broken)
 
 
 _JUDGE = {"csv": judge_csv, "tsv": judge_reviews, "json": judge_json}
@@ -217,10 +232,12 @@ def validate_load(spark: SparkSession, path: str, table: Table | str, **options)
     return load(spark, path, table, **options).rejects
 
 
-def read_text_fields(spark: SparkSession, path: str, table: Table | str, format: str | None = None) -> DataFrame:
+def read_text_fields(
+    spark: SparkSession, path: str, table: Table | str, format: str | None = None, **options
+) -> DataFrame:
     """A file read in place: positional fields under the table's names, all text."""
     table = _table(table)
-    return text_rows(spark.read, path, table, format).select(*table.names)
+    return text_rows(spark.read, path, table, format, **options).select(*table.names)
 
 
 def preview_file(
@@ -229,12 +246,15 @@ def preview_file(
     return read_text_fields(spark, path, table, format).limit(limit)
 
 
-def reconcile_load(spark: SparkSession, path: str, table: Table | str, loaded: DataFrame) -> DataFrame:
-    """One row: records readable in the file, rows stored, and the difference."""
+def reconcile_load(spark: SparkSession, path: str, table: Table | str, loaded: DataFrame, **options) -> DataFrame:
+    """One row: records in the file, rows stored, and the difference.
+
+    ``options`` are those of the load, so that both cut the file into the same records.
+    """
     table = _table(table)
     # every field takes part, so the reader cannot skip parsing the records
     fields = F.struct(*table.names)
-    readable = read_text_fields(spark, path, table).agg(F.count(fields).alias("raw_rows"))
+    readable = read_text_fields(spark, path, table, **options).agg(F.count(fields).alias("raw_rows"))
     stored = loaded.agg(F.count("*").alias("loaded_rows"))
     sides = readable.select("raw_rows", F.lit(0).cast("bigint").alias("loaded_rows")).unionByName(
         stored.select(F.lit(0).cast("bigint").alias("raw_rows"), "loaded_rows")

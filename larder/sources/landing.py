@@ -45,7 +45,7 @@ def transactions_csv(s: StarSchema) -> str:
 def reviews_tsv(s: StarSchema) -> str:
     table = TABLES["product_reviews"]
     fields = [
-        "CASE WHEN review_id % 40 = 7 THEN 'zz' ELSE CAST(review_id AS STRING) END",
+        "CASE review_id % 40 WHEN 7 THEN 'zz' WHEN 11 THEN repeat('9', 20) ELSE CAST(review_id AS STRING) END",
         "product_id", "reviewer_id", "reviewer_name",
         "CASE review_id % 40 WHEN 3 THEN '4.5' WHEN 5 THEN 'abc' ELSE CAST(rating AS STRING) END",
         "CASE WHEN review_id % 40 = 1 THEN 'yesterday' ELSE concat(CAST(review_date AS STRING), ' 08:15:00') END",
@@ -61,17 +61,25 @@ def reviews_tsv(s: StarSchema) -> str:
 
 
 def inventory_json(s: StarSchema) -> str:
-    """One object per line; stock is text, and not a number in some rows."""
-    stock = F.when(
-        (F.col("reorder_point") == 35) & (F.col("lead_time") == 29), F.lit("bad")
-    ).otherwise(F.col("current_stock").cast("string"))
-    folder = scratch_folder(s.spark, "inventory-json")
-    s.bronze("inventory").withColumn("current_stock", stock).write.json(folder)
+    """One object per line; stock is text, no number or too large in some rows; some lines break off."""
+    stock = (
+        F.when((F.col("reorder_point") == 35) & (F.col("lead_time") == 29), F.lit("bad"))
+        .when((F.col("reorder_point") == 30) & (F.col("lead_time") == 11), F.lit("9" * 20))
+        .otherwise(F.col("current_stock").cast("string"))
+    )
+    rows = s.bronze("inventory")
+    return _write_objects(s.spark, rows.withColumn("current_stock", stock), F.col("lead_time") == 17, "inventory-json")
+
+
+def _write_objects(spark: SparkSession, rows: DataFrame, broken, purpose: str) -> str:
+    """One object per line; where ``broken`` holds, without its last character."""
+    line = F.to_json(F.struct(*rows.columns))
+    folder = scratch_folder(spark, purpose)
+    rows.select(F.when(broken, line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)).write.text(folder)
     return folder
 
 
 def stores_json(s: StarSchema) -> str:
-    """One object per line; postal codes are numbers."""
-    folder = scratch_folder(s.spark, "stores-json")
-    s.bronze("store_locations").withColumn("postal_code", F.col("postal_code").cast("bigint")).write.json(folder)
-    return folder
+    """One object per line; postal codes are numbers; some lines break off."""
+    rows = s.bronze("store_locations").withColumn("postal_code", F.col("postal_code").cast("bigint"))
+    return _write_objects(s.spark, rows, F.col("employee_count") % 10 == 7, "stores-json")

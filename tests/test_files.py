@@ -41,7 +41,7 @@ def by_id(df):
 
 
 def test_csv_good_rows(spark, csv):
-    loaded = files.load_csv(spark, csv, "financial_transactions")
+    loaded = files.load_csv(spark, csv, "financial_transactions", multiLine=True)
     assert [f.dataType for f in loaded.good.schema] == [f.dataType for f in TABLES["financial_transactions"].schema]
     good = by_id(loaded.good)
     assert set(good) == {"t1", "t4", "t9"}
@@ -54,7 +54,7 @@ def test_csv_good_rows(spark, csv):
 
 
 def test_csv_rejects(spark, csv):
-    rejects = files.validate_load(spark, csv, "financial_transactions").collect()
+    rejects = files.validate_load(spark, csv, "financial_transactions", multiLine=True).collect()
     reasons = {r["raw"].split(",")[0]: r["line_error"] for r in rejects}
     assert reasons["t2"] == ["amount: not a valid decimal(18,2)"]
     assert reasons["t3"] == ["transaction_date: not a valid date"]
@@ -66,7 +66,7 @@ def test_csv_rejects(spark, csv):
 
 
 def test_count_and_pruned_columns_agree_with_collect(spark, csv):
-    loaded = files.load_csv(spark, csv, "financial_transactions")
+    loaded = files.load_csv(spark, csv, "financial_transactions", multiLine=True)
     assert loaded.good.count() == len(loaded.good.collect()) == 3
     assert loaded.good.select("region").count() == 3
     assert len(loaded.good.select("account_code").collect()) == 3
@@ -74,8 +74,8 @@ def test_count_and_pruned_columns_agree_with_collect(spark, csv):
 
 
 def test_reconcile(spark, csv):
-    loaded = files.load_csv(spark, csv, "financial_transactions")
-    got = files.reconcile_load(spark, csv, "financial_transactions", loaded.good).first()
+    loaded = files.load_csv(spark, csv, "financial_transactions", multiLine=True)
+    got = files.reconcile_load(spark, csv, "financial_transactions", loaded.good, multiLine=True).first()
     assert tuple(got) == (10, 3, 7)
 
 
@@ -174,3 +174,49 @@ def test_preview_and_listing(spark, tsv, tmp_path):
     assert len(seen) == 5 and seen[0]["review_id"] == "1"
     listed = files.list_stage(spark, str(tmp_path)).collect()
     assert [r["path"].rsplit("/", 1)[1] for r in listed] == ["product_reviews.csv"] and listed[0]["length"] > 0
+
+
+def test_broken_json_lines_are_rejects(spark, tmp_path):
+    path = tmp_path / "inventory.json"
+    path.write_text('{"product_id": "P1"}\n{"product_id": "P2"\ntext\n\n{"product_id": "P3"}\n')
+    loaded = files.load_json(spark, str(path), "inventory")
+    assert sorted(r["product_id"] for r in loaded.good.collect()) == ["P1", "P3"] and loaded.good.count() == 2
+    rejects = loaded.rejects.collect()
+    assert sorted(r["raw"] for r in rejects) == ["text", '{"product_id": "P2"']
+    assert all(r["line_error"][0].startswith("not valid JSON: file:") for r in rejects)
+    assert tuple(files.reconcile_load(spark, str(path), "inventory", loaded.good).first()) == (4, 2, 2)
+
+
+def test_an_array_with_a_broken_element_is_one_visible_reject(spark, tmp_path):
+    path = tmp_path / "inventory.json"
+    path.write_text('[{"product_id": "P1"},\n {"product_id": P2},\n {"product_id": "P3"}]\n')
+    loaded = files.load_json(spark, str(path), "inventory", multiLine=True)
+    assert loaded.good.count() == 0 and loaded.rejects.count() == 1
+    assert str(path) in loaded.rejects.first()["line_error"][0]
+    path.write_text('[{"product_id": "P1"},\n {"product_id": "P3"}]\n')
+    assert files.load_json(spark, str(path), "inventory", multiLine=True).good.count() == 2
+
+
+def test_numbers_too_large_reject_the_row(spark, tmp_path):
+    table = TABLES["customer_demographics"]
+    width = len(table.names)
+    path = tmp_path / "c.csv"
+    rows = [[number] + [""] * (width - 1) for number in ("1", "9" * 20, "9" * 60)]
+    path.write_text("\n".join([",".join(table.names), *map(",".join, rows)]) + "\n")
+    loaded = files.load_csv(spark, str(path), table)
+    assert [r[0] for r in loaded.good.collect()] == [1] and loaded.rejects.count() == 2
+
+
+def test_large_files_split_over_tasks(spark, tmp_path):
+    lines = [f"t{i},2024-01-05,Sale,1,Card,Shop,N,A1" for i in range(20_000)]
+    (tmp_path / "t.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    (tmp_path / "i.json").write_text('{"product_id": "P"}\n' * 20_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        plain, array = f"{tmp_path}/t.csv", f"{tmp_path}/i.json"
+        assert files.load_csv(spark, plain, "financial_transactions").good.rdd.getNumPartitions() > 3
+        assert files.load_json(spark, array, "inventory").good.rdd.getNumPartitions() > 3
+        assert files.load_json(spark, array, "inventory", multiLine=True).good.rdd.getNumPartitions() == 1
+        assert files.load_csv(spark, plain, "financial_transactions").good.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

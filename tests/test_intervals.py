@@ -7,7 +7,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from larder.operators.intervals import count_active, left_interval_join, totals_within
+from larder.operators.intervals import count_active, totals_within
+from row_join import left_interval_join
 
 EPOCH = dt.date(2024, 1, 1)
 KEYS = ["N", "S", None]

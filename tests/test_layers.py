@@ -174,7 +174,8 @@ def test_stored_transactions_are_sorted_without_a_shuffle(spark):
 
 def test_sized_for():
     big = sized_for(100 * 1024**4, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 4096 + 1)
+    assert sized_for(100 * 1024**4, 8000, most=50_000)["spark.sql.shuffle.partitions"] == "50000"
     assert sized_for(10 * 1024**2, 8)["spark.sql.shuffle.partitions"] == "24"
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.catalogue import QUERIES
+from row_join import sales_promotion_overlap
 
 # query -> (share column, group it adds up in, slack for rounding each row)
 SHARES = {
@@ -51,7 +52,7 @@ def test_bands_cover_every_row_once(stored, name):
 
 
 def test_impact_equals_the_row_level_join(stored):
-    rows = QUERIES["sales_promotion_overlap"].on(stored)
+    rows = sales_promotion_overlap(stored("financial_transactions"), stored("promotions_data"))
     by_rows = rows.groupBy("promo_status").agg(F.count("*"), F.sum("amount")).orderBy("promo_status").collect()
     summed = QUERIES["promo_impact"].on(stored).orderBy("promo_status").collect()
     assert [tuple(r) for r in by_rows] == [tuple(r)[:3] for r in summed]

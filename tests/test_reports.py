@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import rows, sales as tx, table
+from row_join import sales_promotion_overlap
 from larder.plans import customers, gold, logistics, marketing, promotions, reviews, sales, service
 
 
@@ -127,7 +128,7 @@ def test_a_sale_counts_once_per_promotion(spark):
     assert (got["Avec promotion"]["nb_transactions"], got["Avec promotion"]["total_sales"]) == (2, 20)
     assert (got["Sans promotion"]["nb_transactions"], got["Sans promotion"]["total_sales"]) == (2, 50)
     assert got["Avec promotion"]["pct_volume"] == 50
-    overlap = promotions.sales_promotion_overlap(t, p)
+    overlap = sales_promotion_overlap(t, p)
     assert overlap.groupBy("promo_status").count().orderBy("promo_status").collect() == [
         ("Avec promotion", 2), ("Sans promotion", 2),
     ]
