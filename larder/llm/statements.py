@@ -56,6 +56,38 @@ SELECT doc_id,
 FROM documents
 """
 
+LEAKS = r"""
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+starts AS (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS g FROM starts),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM texts),
+ahead AS (
+  SELECT r, p, list(word) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS n FROM words),
+runs AS (
+  SELECT r, p, k, array_to_string(n[1 : k], ' ') AS g
+  FROM ahead, (SELECT DISTINCT k FROM windows) AS sizes WHERE len(n) >= k),
+found AS (SELECT r, p, runs.k, item FROM runs JOIN windows ON runs.g = windows.g AND runs.k = windows.k),
+hit AS (
+  SELECT r, count(DISTINCT place) AS n_hit
+  FROM (SELECT r, unnest(range(p, p + k)) AS place FROM found) AS covered GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT r, item FROM found) AS pairs GROUP BY r)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
+       sha256(coalesce(n.listed, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM texts t LEFT JOIN hit h ON t.r = h.r LEFT JOIN named n ON t.r = n.r
+"""
+
 _BLOCK_TAGS = (
     "(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main"
     "|nav|ol|p|pre|section|table|td|th|title|tr|ul)(?:\\s[^<>]*)?/?>"
@@ -87,6 +119,7 @@ FROM lined p LEFT JOIN listed c ON p.host = c.host
 """
 
 ORACLE_SQL = {
+    "op4_decontaminate": LEAKS,
     "op8_site_lines": SITE_LINES,
     "op6_mix_sources": MIX,
     "op7_exact_dedup": EXACT,
