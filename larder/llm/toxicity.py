@@ -150,14 +150,18 @@ def learned_lexicon(rows: DataFrame, most: int = LEXICON) -> tuple[frozenset, fr
 def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from ``docs`` (doc_id, text) whose ids are in ``labels`` (doc_id, toxic).
 
-    The sample is the ``sample`` labelled rows with the least hash of the text; a
-    third of it fits the lexicon, a third the trees and a third the calibration,
-    so that none is judged on what the one before has seen. Null labels are left
-    out.
+    The sample is the labelled rows whose hash of the id falls into a share that
+    makes about ``sample`` of them; it is chosen before any text is read. A third
+    of it fits the lexicon, a third the trees and a third the calibration, so
+    that none is judged on what the one before has seen. Null labels are left out.
     """
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(marked, "doc_id").select("text", "toxic")
-    chosen = stored(rows.withColumn("h", F.xxhash64("text")).orderBy("h", "toxic").limit(sample), "toxicity-sample")
+    labelled = stored(docs.select("doc_id").distinct().join(marked, "doc_id"), "toxicity-labels")
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, labelled.count()))) < sample
+    ids = stored(labelled.where(drawn), "toxicity-sample-ids")
+    rows = docs.select("doc_id", text_or_empty().alias("text")).join(ids, "doc_id").select("text", "toxic")
+    # rows that repeat id and text count once
+    chosen = stored(rows.withColumn("h", F.xxhash64("text")).dropDuplicates(["h", "toxic"]), "toxicity-sample")
     part = F.pmod(F.xxhash64("h"), F.lit(3))
     words, stems = learned_lexicon(chosen.where(part == 0).select("text", "toxic"))
     features = stored(measured(chosen.where(part > 0).withColumn("part", part), words, stems), "toxicity-features")
