@@ -144,15 +144,17 @@ def fitted(texts: list[str], labels: list[str], inverse: np.ndarray, epochs=3, a
 def trained(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from ``docs`` (``text``, ``lang``); rows without either are left out.
 
-    The sample is the ``sample`` rows with the least hash of the text.
+    The sample is the rows whose hash of the text falls into a share that makes
+    about ``sample`` of them.
     """
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
     counts, documents = document_frequencies(known)
     if not documents:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32), 1.0)
     inverse = np.log((1 + documents) / (1 + counts)) + 0.1
-    size = F.xxhash64("text")
-    some = known.withColumn("h", size).orderBy("h", "lang").limit(sample).withColumn("all", F.lit(1))
+    drawn = known.withColumn("h", F.xxhash64("text")).where(F.pmod("h", F.lit(documents)) < sample)
+    # a text that is repeated counts once, or it could be most of the sample
+    some = drawn.dropDuplicates(["h", "lang"]).withColumn("all", F.lit(1))
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("h", "ascending"), ("lang", "ascending")])
@@ -160,6 +162,8 @@ def trained(docs: DataFrame, sample: int = SAMPLE) -> Model:
         return pa.table({"languages": pa.array([languages], pa.list_(pa.string())), "weights": pa.array([final.astype("<f4").tobytes()], pa.binary()), "temperature": [temperature]})
 
     made = some.groupBy("all").applyInArrow(fit, "languages array<string>, weights binary, temperature double").first()
+    if made is None:
+        return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32), 1.0)
     final = np.frombuffer(made["weights"], "<f4").reshape(FEATURES + 1, -1)
     scaled = (final[:FEATURES] * (_SCALE * inverse)[:, None]).astype(np.float32)
     return Model(list(made["languages"]), scaled, final[FEATURES], made["temperature"])
