@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from larder.llm.common import text_or_empty
 
@@ -41,8 +41,8 @@ CHUNK_BYTES = 16 << 20
 BUCKET_BYTES = 32 << 20
 # occurrences of one gram from which its windows travel one by one
 FREQUENT = 20_000
-# texts of which a place is sampled for the splitters
-SAMPLED = 8192
+# texts, about, of which a place is sampled for the splitters
+SAMPLED = 4096
 
 _NO_ID = np.iinfo(np.int64).max
 _PIECE = 1 << 20
@@ -405,19 +405,16 @@ def without_repeats(
         F.xxhash64(text, F.octet_length(text)).alias("text_hash"),
         text.cast("binary").alias("bytes"),
     )
-    # how much there is, and leading bytes at one place of some texts
-    seen = Observation()
     size = F.octet_length("bytes")
+    total, texts = rows.agg(F.coalesce(F.sum(size), F.lit(0)), F.count("*")).first()
+    # leading bytes at one place of some texts; a text that is repeated counts once
     place = F.pmod(F.xxhash64("text_hash"), F.greatest(size, F.lit(1)).cast("bigint")) + 1
     sampled = (
-        rows.select("text_hash", size.alias("size"), F.expr("bytes").substr(place.cast("int"), F.lit(8)).alias("lead"))
-        .observe(seen, F.sum("size").alias("total"))
-        .orderBy("text_hash")
-        .limit(SAMPLED)
-        .select("lead")
+        rows.where(F.pmod("text_hash", F.lit(max(1, texts))) < SAMPLED)
+        .select("text_hash", F.expr("bytes").substr(place.cast("int"), F.lit(8)).alias("lead"))
+        .distinct()
         .collect()
     )
-    total = seen.get["total"] or 0
     chunks, buckets = total // chunk_bytes + 1, total // bucket_bytes + 1
     leads = np.sort(np.array([_leading(bytes(r.lead)) for r in sampled], np.uint64))
     splitters = leads[(np.arange(1, buckets) * len(leads)) // buckets] if len(leads) else leads
