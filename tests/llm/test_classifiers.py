@@ -56,8 +56,10 @@ def test_toxicity_held_out(spark, docs):
 
 
 def test_toxicity_hard_cases(spark):
-    rows = [(k, f"you are a moron number {k}!" if k % 3 == 0 else f"a fine day number {k}") for k in range(240)]
-    rows += [(500, None), (501, ""), (None, "you moron"), (502, "MORON!!! " * 40_000), (3, "you are a moron number 3!")]
+    # lengths and marks alike, so that only the words tell
+    texts = [("you are a moron number" if k % 3 == 0 else "you had a fine day, number") + f" {k}!" + " and more" * (k * 7 % 11) for k in range(240)]
+    rows = list(enumerate(texts))
+    rows += [(500, None), (501, ""), (None, "you are a moron, and more"), (502, "MORON!!! " * 40_000), (3, texts[3])]
     df = spark.createDataFrame([(k, t, "clash") for k, t in rows], "doc_id long, text string, predicted string").drop("predicted")
     labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(240)] + [(None, 1), (7, None)], "doc_id long, toxic int")
     model = toxicity.trained(df, labels)
