@@ -107,8 +107,6 @@ CLEANINGS: dict[str, Cleaning] = {
     )
 }
 
-CLEAN_TABLES: list[str] = [c.target for c in CLEANINGS.values()]
-
 
 def apply_rules(df: DataFrame, spec: Cleaning, strict_blanks: bool = False) -> DataFrame:
     """The column rules alone, without de-duplication. Row count is unchanged."""

@@ -21,42 +21,43 @@ from larder.sources.files import load
 GOLD = {
     "ventes_enrichies": (
         "financial_transactions_clean", "transaction_id",
-        "Sales with calendar columns",
+        "One row per sale; rows of other transaction types are not in it",
         {
-            "transaction_id": "Unique transaction id (join key)",
-            "transaction_date": "Day of the transaction",
-            "annee": "Year of the sale",
-            "mois": "Month, 1 to 12",
-            "mois_aaaamm": "Month as YYYY-MM",
-            "jour_semaine_iso": "ISO weekday, 1 = Monday to 7 = Sunday",
-            "is_weekend": "1 on Saturday and Sunday",
-            "transaction_type": "Type of transaction, sales only",
-            "amount": "Amount, never negative",
-            "payment_method": "Means of payment",
-            "entity": "Entity that took the payment",
-            "region": "Region (join dimension)",
-            "account_code": "Ledger account",
+            "transaction_id": "text key, one row each; NULL at most once",
+            "transaction_date": "date; NULL where the source had none, then all calendar columns are NULL",
+            "annee": "int, from transaction_date",
+            "mois": "int 1-12, from transaction_date",
+            "mois_aaaamm": "text yyyy-MM, sorts by time",
+            "jour_semaine_iso": "int, weeks start on Monday as 1",
+            "is_weekend": "int flag: 1 if jour_semaine_iso is 6 or 7",
+            "transaction_type": "text, constant here by the sale filter",
+            "amount": "decimal in the currency of the feed; negative amounts became NULL in the clean layer",
+            "payment_method": "text as delivered, trimmed",
+            "entity": "text as delivered, trimmed",
+            "region": "text; joins to promotions, campaigns and customers",
+            "account_code": "text as delivered, trimmed",
         },
     ),
     "promotions_actives": (
-        "promotions_clean", "promotion_id", "All promotions with a running flag", {},
+        "promotions_clean", "promotion_id",
+        "One row per promotion, past and future ones too; is_active says whether the reference day lies in it", {},
     ),
     "clients_enrichis": (
         "customer_demographics_clean", "customer_id",
-        "Customers with age and income segments",
+        "One row per customer, segmented on the reference day of the build",
         {
-            "customer_id": "Customer id (join key)",
-            "name": "Customer name",
-            "date_of_birth": "Date of birth",
-            "age": "Calendar years since the year of birth",
-            "age_segment": "Age segment",
-            "gender": "Gender",
-            "marital_status": "Marital status",
-            "annual_income": "Annual income, never negative",
-            "income_bracket": "Income bracket",
-            "region": "Region",
-            "country": "Country",
-            "city": "City",
+            "customer_id": "bigint key, one row each",
+            "name": "text, trimmed",
+            "date_of_birth": "date; NULL leaves age and age_segment without a value",
+            "age": "int: year of the reference day less year of birth, birthdays not regarded",
+            "age_segment": "text, band of age",
+            "gender": "text as delivered, trimmed",
+            "marital_status": "text as delivered, trimmed",
+            "annual_income": "decimal per year; negative values became NULL in the clean layer",
+            "income_bracket": "text, band of annual_income",
+            "region": "text; joins to sales",
+            "country": "text as delivered, trimmed",
+            "city": "text as delivered, trimmed",
         },
     ),
 }

@@ -20,9 +20,9 @@ class Layers:
 
 
 LAYER_COMMENTS = {
-    "bronze": "Raw data, as close to the files as possible",
-    "silver": "Clean tables ready for analysis",
-    "analytics": "Derived tables ready for reporting and modelling",
+    "bronze": "Accepted rows of the landing files, typed, nothing else changed; appended to by every load",
+    "silver": "One table per raw table: rules applied, one row per key; rebuilt whole",
+    "analytics": "Tables computed from the clean layer; rebuilt whole",
 }
 
 
@@ -116,6 +116,7 @@ def table_count(spark: SparkSession, database: str) -> DataFrame:
 
 def environment_status(spark: SparkSession, layers: Layers = Layers()) -> DataFrame:
     """One row telling which catalog and layers are set up and how many raw tables exist."""
+    # fixed values: the labels of the status line
     return table_count(spark, layers.bronze).select(
         F.lit("Environnement prêt").alias("status"),
         F.concat(F.lit("DB: "), F.current_catalog()).alias("database_info"),

@@ -95,8 +95,8 @@ def test_gold_customers(lake):
 def test_documentation_and_keys(lake):
     name = f"{DB.analytics}.ventes_enrichies"
     described = {r["col_name"]: r["comment"] for r in lake.sql(f"DESCRIBE TABLE {name}").collect()}
-    assert described["annee"] == "Year of the sale"
-    assert lake.catalog.getTable(name).description == "Sales with calendar columns"
+    assert described["annee"] == "int, from transaction_date"
+    assert lake.catalog.getTable(name).description.startswith("One row per sale")
     assert sink.declared_key(lake, name) == ["transaction_id"]
     assert tuple(sink.check_key(lake, name).first()) == (2, 2, 0)
 
