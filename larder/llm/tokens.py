@@ -25,7 +25,7 @@ from larder.session import scratch_folder
 END = 1
 SHARD_TOKENS = 1 << 20
 # words whose ids a worker remembers; beyond it starts anew
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 
 # punctuation that is in no special token and in no contraction
 _CLOSING = b"!\"#$%&()*+,-./:;=?@[]^_`{}~\\"
@@ -33,7 +33,7 @@ _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
 class WordEncoder(dict):
-    """Ids of white-space separated words, as packed bytes.
+    """Ids of white-space separated words, as packed bytes; remembers those of their parts.
 
     The tokenizer never joins text across ASCII white space, so a text's ids are
     its words' ids in order. ASCII punctuation at the end of a word, after a
@@ -69,12 +69,14 @@ class WordEncoder(dict):
             return core, word[len(core) :]
         return word, b""
 
-    def learn(self, words: set[bytes]) -> None:
-        """Enter the words not known yet, letter words in one call to the tokenizer."""
-        if len(self) + len(words) > REMEMBERED:
+    def known(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of each of ``words``; parts not seen before go to the tokenizer, letter words in one call."""
+        parted = {w: self._parted(w) for w in words}
+        parts = set(chain.from_iterable(parted.values()))
+        parts.discard(b"")
+        if len(self) + len(parts - self.keys()) > REMEMBERED:
             self.clear()
-        parted = {w: self._parted(w) for w in words if w not in self}
-        new = [w.decode() for w in set(chain.from_iterable(parted.values())) if w and w not in self]
+        new = [w.decode() for w in parts - self.keys()]
         plain = [w for w in new if w.isalpha() and len(w) < 64]
         rest = [w for w in new if not (w.isalpha() and len(w) < 64)]
         if plain:
@@ -90,9 +92,7 @@ class WordEncoder(dict):
                 rest += plain
         for word, encoding in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             self[word.encode()] = np.array(encoding.ids, self.kind).tobytes()
-        for word, (core, stop) in parted.items():
-            if stop:
-                self[word] = self[core] + self[stop]
+        return {w: self[core] + self[stop] if stop else self[core] for w, (core, stop) in parted.items()}
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
@@ -105,8 +105,8 @@ class WordEncoder(dict):
             if b"<|" not in raw and b"\xcc" not in raw and b"\xcd" not in raw:
                 raw = raw.translate(_LOWER)
             split.append(raw.split())
-        self.learn(set(chain.from_iterable(split)))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        ids = self.known(set(chain.from_iterable(split)))
+        return [b"".join(map(ids.__getitem__, words)) for words in split]
 
 
 @lru_cache(maxsize=2)
@@ -117,7 +117,7 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[tuple[list, list]]:
+def _pieces(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[tuple[list, list]]:
     """Ids and texts of some documents at a time, about ``most`` characters."""
     for batch in batches:
         names, texts, held = [], [], 0
