@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from larder.llm.common import stored, text_or_empty
 from larder.llm.components import components
@@ -69,15 +69,19 @@ def _prints(words: int):
     return run
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """(no_id, id, text_hash, print) for every row of ``docs`` (``doc_id``, ``text``)."""
+def named() -> list[Column]:
+    """no_id, id and text_hash of a row (``doc_id``, ``text``)."""
     text = text_or_empty()
-    rows = docs.select(
+    return [
         F.col("doc_id").isNull().alias("no_id"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"),
         F.xxhash64(text, F.octet_length(text)).alias("text_hash"),
-        text.alias("text"),
-    )
+    ]
+
+
+def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """(no_id, id, text_hash, print) for every row of ``docs`` (``doc_id``, ``text``)."""
+    rows = docs.select(*named(), text_or_empty().alias("text"))
     return rows.mapInArrow(_prints(words), "no_id boolean, id bigint, text_hash bigint, print bigint")
 
 
@@ -156,14 +160,13 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, crowded: int = CROWDE
 def deduplicated(docs: DataFrame, words: int = SHINGLE, crowded: int = CROWDED) -> DataFrame:
     """One row of each component of ``docs``, all columns kept: the row that ``near_duplicates`` names."""
     found = near_duplicates(docs, words, crowded)
-    kept = found.where("no_id = keep_no_id AND id = keep_id AND text_hash = keep_hash").select(*_DOC).distinct()
-    kept = stored(kept, "kept-documents")
-    text = text_or_empty()
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col("doc_id").isNull().alias("no_id"),
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"),
-        F.xxhash64(text, F.octet_length(text)).alias("text_hash"),
-    )
+    kept = found.where("no_id = keep_no_id AND id = keep_id AND text_hash = keep_hash").select(*_DOC)
+    return only(docs, kept)
+
+
+def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each document that ``kept`` (no_id, id, text_hash) names, all columns kept."""
+    kept = stored(kept.distinct(), "kept-documents")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *named())
     repeat = F.row_number().over(Window.partitionBy(*_DOC).orderBy("id"))
     return rows.join(kept, _DOC).withColumn("repeat", repeat).where("repeat = 1").select("row.*")
