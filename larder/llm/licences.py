@@ -16,32 +16,46 @@ from pyspark.sql import DataFrame
 
 # Known licence sentences, normalised, by identifier. `V` stands for a version number.
 SENTENCES = {
-    "apache-ref": r"licensed under the apache licen[cs]e version V(?: the licen[cs]e)?",
+    "apache-ref": r"(?:SUBJECT )?(?:released|licensed|distributed) under (?:the )?(?:terms of the )?apache (?:software )?licen[cs]e(?: version)? V(?: the licen[cs]e)?(?: you may not use this file except in compliance with the licen[cs]e)?",
     "apache-use": r"you may not use this file except in compliance with the licen[cs]e",
     "apache-copy": r"you may obtain a copy of the licen[cs]e at .*",
     "apache-as-is": r"unless required by applicable law or agreed to in writing software distributed under the licen[cs]e is distributed on an as is basis .*",
     "apache-see": r"see the licen[cs]e for the specific language governing permissions and limitations under the licen[cs]e",
-    "mit-ref": r"(?:released|licensed|distributed) under the (?:terms of the )?mit licen[cs]e",
+    "mit-ref": r"(?:SUBJECT )?(?:released|licensed|distributed) under (?:the )?(?:terms of the )?mit licen[cs]e",
     "mit-grant": r"permission is hereby granted free of charge to any person obtaining a copy of this software .*",
     "mit-notice": r"the above copyright notice and this permission notice shall be included in all copies .*",
     "as-is": r"the software is provided as is without warranty of any kind .*",
     "as-is-holders": r"this software is provided by the (?:copyright holders and contributors|author|regents and contributors) as is and any express or implied warranties .*",
-    "bsd-ref": r"(?:released|licensed|distributed) under the (?:terms of the )?(?:(?:2|3|new|simplified|modified) ?(?:clause)? )?bsd licen[cs]e",
+    "bsd-ref": r"(?:SUBJECT )?(?:released|licensed|distributed) under (?:the )?(?:terms of the )?(?:(?:2|3|new|simplified|modified) ?(?:clause)? )?bsd licen[cs]e",
     "bsd-grant": r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd-source": r"(?:\d )?redistributions of source code must retain the above copyright notice .*",
     "bsd-binary": r"(?:\d )?redistributions in binary form must reproduce the above copyright notice .*",
     "bsd-endorse": r"(?:\d )?neither the name of .* may be used to endorse or promote products .*",
-    "gpl-ref": r"(?:this (?:work|program|file|software) is )?licensed under the (?:terms of the )?gnu general public licen[cs]e(?: as published by the free software foundation)? version V",
-    "gpl-free": r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e as published by the free software foundation either version V of the licen[cs]e or at your option any later version",
-    "gpl-hope": r"this program is distributed in the hope that it will be useful but without any warranty .*",
-    "gpl-copy": r"you should have received a copy of the gnu general public licen[cs]e along with this program .*",
-    "lgpl-ref": r"(?:this (?:work|program|library|software) is )?licensed under the (?:terms of the )?gnu lesser general public licen[cs]e version V",
-    "agpl-ref": r"(?:this (?:work|program|file|software) is )?licensed under the (?:terms of the )?gnu affero general public licen[cs]e version V",
-    "mpl-ref": r"this source code form is subject to the terms of the mozilla public licen[cs]e v(?:ersion)? ?V",
+    "gpl-ref": r"(?:SUBJECT )?(?:released|licensed|distributed) under (?:the )?(?:terms of the )?gnu general public licen[cs]e(?: as published by the free software foundation)?(?: version)? V",
+    "gpl-free": r"this (?:program|file|software) is free software you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e as published by the free software foundation either version V of the licen[cs]e or at your option any later version",
+    "lgpl-free": r"this (?:program|library|file|software) is free software you can redistribute it and or modify it under the terms of the gnu lesser general public licen[cs]e as published by the free software foundation either version V of the licen[cs]e or at your option any later version",
+    "agpl-free": r"this (?:program|file|software) is free software you can redistribute it and or modify it under the terms of the gnu affero general public licen[cs]e as published by the free software foundation either version V of the licen[cs]e or at your option any later version",
+    "gpl-hope": r"this (?:program|library|file|software) is distributed in the hope that it will be useful but without any warranty .*",
+    "gpl-details": r"see the gnu (?:lesser |affero )?general public licen[cs]e for more details",
+    "gpl-copy": r"you should have received a copy of the gnu (?:lesser |affero )?general public licen[cs]e along with this (?:program|library|file|software).*",
+    "lgpl-ref": r"(?:SUBJECT )?(?:released|licensed|distributed) under (?:the )?(?:terms of the )?gnu lesser general public licen[cs]e(?: as published by the free software foundation)?(?: version)? V",
+    "agpl-ref": r"(?:SUBJECT )?(?:released|licensed|distributed) under (?:the )?(?:terms of the )?gnu affero general public licen[cs]e(?: as published by the free software foundation)?(?: version)? V",
+    "mpl-ref": r"this source code form is subject to the terms of the mozilla public licen[cs]e(?: v| version)? ?V",
     "cc-by-nc": r"(?:this (?:work|page|text) is )?licensed under (?:a )?(?:cc by nc|creative commons attribution non ?commercial) V(?: .*)?",
     "cc-by-sa": r"(?:this (?:work|page|text) is )?licensed under (?:a )?(?:cc by sa|creative commons attribution share ?alike) V(?: .*)?",
     "cc-by": r"(?:this (?:work|page|text) is )?licensed under (?:a )?(?:cc by|creative commons attribution) V(?: .*)?",
     "cc0": r"(?:to the extent possible under law .* waived all copyright .*|(?:released|licensed) under cc0 V(?: .*)?)",
+    "mpl-copy": r"if a copy of the mpl was not distributed with this file you can obtain one at .*",
+    "isc-grant": r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-as-is": r"the software is provided as is and the author disclaims all warranties with regard to this software .*",
+    "isc-ref": r"(?:SUBJECT )?(?:released|licensed|distributed) under (?:the )?(?:terms of the )?isc licen[cs]e",
+    "unlicense-free": r"this is free and unencumbered software released into the public domain",
+    "epl-ref": r"(?:SUBJECT |this program and the accompanying materials are )?(?:released|licensed|distributed|made available) under the terms of the eclipse public licen[cs]e(?: version)? ?V(?: .*)?",
+    "apache-body": r"apache licen[cs]e version V january 2004.*",
+    "gpl-body": r"gnu general public licen[cs]e version V (?:june|29 june) \d{4}.*",
+    "lgpl-body": r"gnu lesser general public licen[cs]e version V (?:february|29 june) \d{4}.*",
+    "agpl-body": r"gnu affero general public licen[cs]e version V 19 november 2007.*",
+    "mpl-body": r"mozilla public licen[cs]e version V",
     "rights": r"all rights reserved",
     "spdx": r"spdx licen[cs]e identifier (?P<spdx>.+)",
 }
@@ -55,12 +69,23 @@ RULES = [
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "as-is-holders")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "as-is-holders")),
     ("BSD", ("bsd-ref",)),
-    ("GPL-{}-or-later", ("gpl-free", "gpl-hope", "gpl-copy")),
-    ("GPL-{}-or-later", ("gpl-free",)),
+    *((f"{name}-{{}}-or-later", (free, *rest)) for name, free in (("GPL", "gpl-free"), ("LGPL", "lgpl-free"), ("AGPL", "agpl-free"))
+      for rest in (("gpl-hope", "gpl-details", "gpl-copy"), ("gpl-hope", "gpl-copy"), ("gpl-hope", "gpl-details"), ("gpl-hope",), ())),
     ("GPL-{}", ("gpl-ref",)),
     ("LGPL-{}", ("lgpl-ref",)),
     ("AGPL-{}", ("agpl-ref",)),
+    ("MPL-{}", ("mpl-ref", "mpl-copy")),
     ("MPL-{}", ("mpl-ref",)),
+    ("ISC", ("isc-grant", "isc-as-is")),
+    ("ISC", ("isc-grant",)),
+    ("ISC", ("isc-ref",)),
+    ("Unlicense", ("unlicense-free",)),
+    ("EPL-{}", ("epl-ref",)),
+    ("Apache-{}", ("apache-body",)),
+    ("GPL-{}", ("gpl-body",)),
+    ("LGPL-{}", ("lgpl-body",)),
+    ("AGPL-{}", ("agpl-body",)),
+    ("MPL-{}", ("mpl-body",)),
     ("CC-BY-NC-{}", ("cc-by-nc",)),
     ("CC-BY-SA-{}", ("cc-by-sa",)),
     ("CC-BY-{}", ("cc-by",)),
@@ -69,12 +94,15 @@ RULES = [
     ("{spdx}", ("spdx",)),
 ]
 
-# a sentence ends at a line break that is not inside a sentence, or at a mark followed by white space
-_END = re.compile(r"(?<=[.!?;])\s+|(?<=:)[ \t]*\n|\n\s*\n")
+# a sentence ends at a line break that is not inside a sentence, or at a mark followed by white space,
+# but not after the marks inside the GPL's and MPL's notices
+_END = re.compile(r"(?<=[.!?;])(?<!\bv\.)(?<!\bV\.)(?<!software;)(?<!Foundation;)\s+|(?<=:)[ \t]*\n|\n\s*\n")
+# what is licensed, in a few words
+_SUBJECT = r"(?!no |none |nothing |neither |not )(?:(?:this|the|these) )?(?:\w+ ){0,3}(?:is|are)(?: (?:also|dual|hereby))?"
 _COMMENT = re.compile(r"^[\s#*/;%>-]+", re.MULTILINE)
 # every known sentence holds one of these
-_MAYBE = re.compile(r"licen[cs]|rights reserved|permission|redistribut|warrant|copyright|endorse|gnu general")
-_KNOWN = [(name, re.compile(p.replace("V", r"v?(?P<version>\d+(?:\.\d+)*)"))) for name, p in SENTENCES.items()]
+_MAYBE = re.compile(r"licen[cs]|rights reserved|permission|redistribut|warrant|copyright|endorse|gnu general|unencumbered|mpl was not")
+_KNOWN = [(name, re.compile(p.replace("SUBJECT", _SUBJECT).replace("V", r"v?(?P<version>\d+(?:\.\d+)*)"))) for name, p in SENTENCES.items()]
 _BY_LENGTH = sorted(RULES, key=lambda rule: -len(rule[1]))
 
 
