@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontaminate, mixing, near_copies, tokens, toxicity
-from larder.llm.common import stored, table
+from larder.llm import decontaminate, mixing, simhash, tokens, toxicity
+from larder.llm.common import dropped, stored, table
 from larder.llm.queries import tokenizer_file
 
 
@@ -17,8 +17,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document, by id, of each group of near copies: runs of five words, similarity of 0.8 or more."""
-    return near_copies.deduplicated(docs)
+    """The first document, by id, of each group whose fingerprints are linked: three words, two bits."""
+    return simhash.deduplicated(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +49,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over ``documents``; each stage's rows are written and read again."""
-    rows = table(spark, sf_dir, "documents")
+    """The stages in order over ``documents``; each stage's rows are written and read again.
+
+    A stage's rows are deleted once the next stage's are stored; the last stage reads its token files only.
+    """
+    rows, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        rows = stored(stage(spark, rows, sf_dir), f"pipeline-{name}")
+        rows, used = stored(stage(spark, rows, sf_dir), f"pipeline-{name}"), before
+        before = rows
+        if used is not None:
+            dropped(used)
     return STAGES[-1][1](spark, rows, sf_dir)
