@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larder.llm import block_names, decontaminate, language, licences, mixing, simhash, site_lines, suffixes, tokens, toxicity
+from larder.llm import (
+    block_names, decontaminate, language, licences, mixing, simhash, site_lines, spelling, suffixes, tokens, toxicity,
+    voronoi, whitening,
+)
 from larder.llm.common import stored, table
 
 
@@ -85,6 +90,30 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, model)
 
 
+def _misspelled(doc_id: str):
+    """Takes one code point from about one in 31 of a document's words, chosen by the id and the word."""
+    start = zlib.crc32(f"{doc_id}:".encode())
+
+    def edit(word: str) -> str:
+        h = zlib.crc32(word.encode(), start)
+        at = h % len(word)
+        return word if h % 31 else word[:at] + word[at + 1 :]
+
+    return edit
+
+
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"), _misspelled)
+
+
+def op12_voronoi_join(spark: SparkSession, folder: str) -> DataFrame:
+    return voronoi.embedding_neighbours(table(spark, folder, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.embedding_whitening(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_wavelet_tokens": op2_wavelet_tokens,
@@ -96,4 +125,7 @@ QUERIES = {
     "op8_site_lines": op8_site_lines,
     "op9_suffix_array": op9_suffix_array,
     "op10_toxicity": op10_toxicity,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_voronoi_join": op12_voronoi_join,
+    "op13_whitening": op13_whitening,
 }
