@@ -12,6 +12,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +26,13 @@ from larder.session import scratch_folder
 END = 1
 SHARD_TOKENS = 1 << 20
 # words whose ids a worker remembers; beyond it starts anew
-REMEMBERED = 500_000
+REMEMBERED = 300_000
+# words given to the tokenizer at once; it takes some thousand bytes for each
+TOGETHER = 1 << 11
 
 # punctuation that is in no special token and in no contraction
 _CLOSING = b"!\"#$%&()*+,-./:;=?@[]^_`{}~\\"
+_PROBE = "Ab, cd.\tEf!!\n gh?). don't.\x0b\x0cij \r1, 2. É, é.;"
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -51,10 +55,9 @@ class WordEncoder(dict):
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.split_safe = self._is_split_safe()
+        self.split_safe, self.folds = self._is_split_safe(_PROBE), self._ids(_PROBE) == self._ids(_PROBE.lower())
 
-    def _is_split_safe(self) -> bool:
-        probe = "Ab, cd.\tEf!!\n gh?). don't.\x0b\x0cij \r1, 2. É, é.;"
+    def _is_split_safe(self, probe: str) -> bool:
         pieces = [p for word in probe.split() for p in self._parted(word.encode()) if p]
         return self._ids(probe) == [i for piece in pieces for i in self._ids(piece.decode())]
 
@@ -65,9 +68,11 @@ class WordEncoder(dict):
     def _parted(word: bytes) -> tuple[bytes, bytes]:
         """A word and the punctuation at its end, which is left with the word where they might belong together."""
         core = word.rstrip(_CLOSING)
-        if core and len(core) < len(word) and core.decode()[-1].isalnum():
-            return core, word[len(core) :]
-        return word, b""
+        if not core or len(core) == len(word):
+            return word, b""
+        # the tokenizer composes and lowers first; a letter can then end in a mark, which joins what follows
+        last = core[-1:] if core[-1] < 128 else normalize("NFC", core.decode()).lower()[-1:]
+        return (core, word[len(core) :]) if last.isalnum() else (word, b"")
 
     def known(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of each of ``words``; parts not seen before go to the tokenizer, letter words in one call."""
@@ -79,19 +84,22 @@ class WordEncoder(dict):
         new = [w.decode() for w in parts - self.keys()]
         plain = [w for w in new if w.isalpha() and len(w) < 64]
         rest = [w for w in new if not (w.isalpha() and len(w) < 64)]
-        if plain:
-            joined = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+        for start in range(0, len(plain), TOGETHER):
+            some = plain[start : start + TOGETHER]
+            joined = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             ids, owner = np.array(joined.ids, self.kind), np.array(joined.word_ids, np.int64)
             cuts = np.flatnonzero(np.diff(owner)) + 1
-            if len(cuts) + 1 == len(plain):  # one piece a word, as expected of letters
+            if len(cuts) + 1 == len(some):  # one piece a word, as expected of letters
                 size = self.kind.itemsize
                 packed, edges = ids.tobytes(), [0, *(cuts * size).tolist(), len(ids) * size]
-                for word, start, end in zip(plain, edges, edges[1:]):
-                    self[word.encode()] = packed[start:end]
+                for word, a, b in zip(some, edges, edges[1:]):
+                    self[word.encode()] = packed[a:b]
             else:
-                rest += plain
-        for word, encoding in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self[word.encode()] = np.array(encoding.ids, self.kind).tobytes()
+                rest += some
+        for start in range(0, len(rest), TOGETHER):
+            some = rest[start : start + TOGETHER]
+            for word, encoding in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self[word.encode()] = np.array(encoding.ids, self.kind).tobytes()
         return {w: self[core] + self[stop] if stop else self[core] for w, (core, stop) in parted.items()}
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
@@ -102,7 +110,7 @@ class WordEncoder(dict):
         for text in texts:
             raw = text.encode()
             # upper case may be folded unless it could join a combining mark or spell a special token
-            if b"<|" not in raw and b"\xcc" not in raw and b"\xcd" not in raw:
+            if self.folds and b"<|" not in raw and b"\xcc" not in raw and b"\xcd" not in raw:
                 raw = raw.translate(_LOWER)
             split.append(raw.split())
         ids = self.known(set(chain.from_iterable(split)))

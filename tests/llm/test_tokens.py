@@ -1,6 +1,7 @@
 """Token files: wavelet matrix queries, equality with plain encoding, hard cases."""
 
 import glob
+import unicodedata
 import zlib
 
 import numpy as np
@@ -37,6 +38,35 @@ def test_word_by_word_equals_whole(plain):
         assert np.frombuffer(ids, "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_every_letter_before_and_after_punctuation(plain):
+    """Letters that fall apart when composed or lowered end in a mark, which joins the punctuation after it."""
+    assigned = [chr(c) for c in range(128, 0x110000) if unicodedata.category(chr(c))[0] in "LMN"]
+    rare = [c for c in assigned if unicodedata.category(c) != "Lo" or unicodedata.normalize("NFC", c) != c]
+    others = [c for c in assigned if unicodedata.category(c) == "Lo"]
+    some = rare + others[:: max(1, len(others) // 5000)] + list("\u09dc\u09dd\u09df\u0958\u095f\u0a33\u0b5c")
+    texts = [f"a{c}). {c}, 1923 .{c} A{c}" for c in some] + ["TARİHİ, 1923", "Aİ)", "বাংলায়।"]
+    packed = tokens.WordEncoder(PATH).encode_all(texts)
+    for text, ids, whole in zip(texts, packed, plain.encode_batch_fast(texts, add_special_tokens=False)):
+        assert np.frombuffer(ids, "<u2").tolist() == whole.ids, repr(text)
+
+
+def test_random_strings_of_hard_letters(plain):
+    rng = np.random.default_rng(5)
+    letters = list("aI.),'?!- \n1é") + list("İ\u0307\u0301\u20d7\u05b0\u09df\u0958\uac00\u1161가Ａ²Ⅳ😀\u200d")
+    texts = ["".join(rng.choice(letters, rng.integers(1, 14))) for _ in range(6000)]
+    packed = tokens.WordEncoder(PATH).encode_all(texts)
+    for text, ids, whole in zip(texts, packed, plain.encode_batch_fast(texts, add_special_tokens=False)):
+        assert np.frombuffer(ids, "<u2").tolist() == whole.ids, repr(text)
+
+
+def test_vocabularies_that_know_upper_case_are_not_folded():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, whole = tokens.WordEncoder(path), Tokenizer.from_file(path)
+    assert not encoder.folds
+    (ids,) = encoder.encode_all(["Upper CASE, kept. İ)"])
+    assert np.frombuffer(ids, encoder.kind).tolist() == whole.encode("Upper CASE, kept. İ)", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 65536, 65537, 140000])
 def test_wavelet_queries(n):
     rng = np.random.default_rng(n)
