@@ -7,18 +7,18 @@ suffix stands for it: of the windows' runs of ``GRAM`` bytes the one with the
 least hash, the leftmost of equals. Equal windows choose the same place, so they
 are found by sorting the chosen suffixes together with the bytes before them.
 
-1. Documents are dealt into chunks. Each chunk sends a few bytes of hash for each
-   chosen suffix; suffixes whose leading gram occurs nowhere else are done with.
+1. Documents are dealt into chunks. Each chunk sends a few bytes for each distinct
+   hash of its chosen suffixes; those whose leading gram occurs once are done with.
 2. For the others, the bytes of all windows they stand for are range-partitioned
-   by the leading bytes of the suffix, at splitters from a sample. A gram that
-   occurs very often would fill a partition: its windows travel one by one, dealt
-   by content, and of equal ones in a chunk only the first document's.
+   by the suffix's leading gram, at splitters from a sample. A gram that occurs
+   very often would fill a partition: its windows travel one by one, dealt by
+   content. Of equal contexts, and of equal windows, a chunk sends one.
 3. Each bucket sorts its suffixes by multikey quicksort on eight bytes at a time,
    and the bytes before them likewise. Common prefixes of neighbours number all
    prefixes of a length; a window is the pair of numbers of its two sides, and the
-   least document of each pair is the one that keeps it. Equal leading bytes never
-   lie in different range buckets, so none is compared across a boundary; windows
-   dealt by content are whole groups as well.
+   least document of each pair is the one that keeps it. Equal grams never lie in
+   different range buckets, so none is compared across a boundary; windows dealt
+   by content are whole groups as well.
 4. Chunks cut out what was found.
 
 All of it is one plan that shuffles the texts once: the chunk exchange is reused.
@@ -27,6 +27,7 @@ All of it is one plan that shuffles the texts once: the chunk exchange is reused
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,10 @@ from larder.llm.common import text_or_empty
 
 LENGTH = 50
 GRAM = 24
-CHUNK_BYTES = 16 << 20
-BUCKET_BYTES = 32 << 20
+CHUNK_BYTES = 8 << 20
+# corpus bytes to a bucket of hashes, and to one of contexts; were all repeated, contexts would take seven times that
+HASH_BYTES = 32 << 20
+BUCKET_BYTES = 4 << 20
 # occurrences of one gram from which its windows travel one by one
 FREQUENT = 20_000
 # texts, about, of which a place is sampled for the splitters
@@ -47,7 +50,15 @@ SAMPLED = 4096
 _NO_ID = np.iinfo(np.int64).max
 _PIECE = 1 << 20
 _DOC = ["no_id", "id", "text_hash"]
-_FOUND = np.dtype([("doc", "<i4"), ("start", "<i8"), ("end", "<i8")])
+_BEFORE = LENGTH - GRAM
+_SAMPLE_BYTES = 256
+# contexts or windows handled at once
+_SLICE = 1 << 16
+# stretches of documents; ``row`` is the row sent, or -1. Windows sent for themselves have rows from _WINDOWS on
+_FOUND = np.dtype([("row", "<i4"), ("doc", "<i4"), ("start", "<i8"), ("end", "<i8")])
+_ALIAS = np.dtype([("row", "<i4"), ("doc", "<i4"), ("shift", "<i8")])
+_WINDOW = np.dtype([("row", "<i4"), ("of", "<i4"), ("doc", "<i4"), ("start", "<i8")])
+_WINDOWS = 1 << 30
 
 
 def _mixed(low: np.ndarray, mid: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -122,12 +133,12 @@ def chosen(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         yield doc, hashes[at], at + shift, first + shift, last + shift
 
 
-def _routed(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and 40 more bits of each hash; chosen hashes are small ones, so they are spread first."""
+def _routed(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 40 more bits of each hash as one number; chosen hashes are small ones, so they are spread first."""
     h = hashes * np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xD6E8FEB86659FD93)
-    return (h >> np.uint64(40)).astype(np.int64) % buckets, h & np.uint64((1 << 40) - 1)
+    return (h >> np.uint64(40)) % np.uint64(buckets) << np.uint64(40) | h & np.uint64((1 << 40) - 1)
 
 
 def _texts(table: pa.Table) -> tuple[pa.Table, list[bytes]]:
@@ -148,116 +159,249 @@ def _all_chosen(texts: list[bytes]) -> list[np.ndarray]:
     return [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kinds[k]) for k in range(5)]
 
 
+_ANNOUNCED = "bucket int, chunk int, bits binary, repeated binary, counts binary"
+
+
 def _announce(buckets: int):
+    """Each distinct hash of a chunk once, and how often, where that is more than once."""
+
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         _, texts = _texts(table)
-        bucket, bits = _routed(_all_chosen(texts)[1], buckets)
-        raw = bits.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-        names, blobs = [], []
-        for name, rows in _by_bucket(bucket):
-            names.append(name)
-            blobs.append(raw[rows].tobytes())
-        chunk = [key[0].as_py()] * len(names)
-        return pa.table({"bucket": pa.array(names, pa.int32()), "chunk": pa.array(chunk, pa.int32()), "bits": pa.array(blobs, pa.binary())})
+        names, counts = np.unique(_routed(_all_chosen(texts)[1], buckets), return_counts=True)
+        raw = names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        out = []
+        for name, rows in _by_bucket((names >> np.uint64(40)).astype(np.int64)):
+            n = counts[rows]
+            out.append((name, key[0].as_py(), raw[rows].tobytes(), np.packbits(n > 1).tobytes(), n[n > 1].astype("<u4").tobytes()))
+        return _table(_ANNOUNCED, out)
 
     return run
 
 
 def _compare(frequent: int):
-    """Tells each chunk which of its suffixes have a gram that occurs again, and which one that is frequent."""
+    """Tells each chunk which of its hashes occur again, and which are frequent."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        blobs = table["bits"].to_pylist()
-        sizes = [len(b) // 5 for b in blobs]
-        wide = np.zeros((sum(sizes), 8), np.uint8)
-        wide[:, :5] = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 5)
-        values = wide.view("<u8").ravel()
+        values, counts, sizes = [], [], []
+        for row in table.select(["bits", "repeated", "counts"]).to_pylist():
+            bits = np.frombuffer(row["bits"], np.uint8).reshape(-1, 5)
+            wide = np.zeros((len(bits), 8), np.uint8)
+            wide[:, :5] = bits
+            n = np.ones(len(bits), np.int64)
+            n[np.unpackbits(np.frombuffer(row["repeated"], np.uint8), count=len(n)).astype(bool)] = np.frombuffer(row["counts"], "<u4")
+            values.append(wide.view("<u8").ravel())
+            counts.append(n)
+            sizes.append(len(n))
+        values, counts = np.concatenate(values), np.concatenate(counts)
         order = np.argsort(values)
-        ranked = values[order]
-        starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        counts = np.empty(len(values), np.int64)
-        counts[order] = np.repeat(*(lambda c: (c, c))(np.diff(np.append(starts, len(values)))))
-        ends = np.cumsum(sizes)[:-1]
-        packed = [np.packbits(c > 1).tobytes() for c in np.split(counts, ends)]
-        often = [np.packbits(c > frequent).tobytes() for c in np.split(counts, ends)]
-        n = len(blobs)
-        return pa.table(
-            {"chunk": table["chunk"].combine_chunks(), "bucket": pa.array([key[0].as_py()] * n, pa.int32()),
-             "again": pa.array(packed, pa.binary()), "often": pa.array(often, pa.binary())}
-        )
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(values[order]) != 0]))
+        totals = np.empty(len(values), np.int64)
+        totals[order] = np.repeat(np.add.reduceat(counts[order], starts), np.diff(np.append(starts, len(values))))
+        parts = np.split(totals, np.cumsum(sizes)[:-1])
+        again = [np.packbits(c > 1).tobytes() for c in parts]
+        often = [np.packbits(c > frequent).tobytes() for c in parts]
+        chunks = table["chunk"].to_pylist()
+        return _table(_TOLD, list(zip(chunks, [key[0].as_py()] * len(chunks), again, often)))
 
     return run
 
 
-def _leading(raw: bytes) -> int:
-    return int.from_bytes(raw[:8].ljust(8, b"\0"), "big")
+_TOLD = "chunk int, bucket int, again binary, often binary"
+_SENT = "bucket int, chunk int, rows binary, docs binary, ids binary, starts binary, lefts binary, sizes binary, texts binary"
+
+
+def _table(schema: str, rows: list[tuple]) -> pa.Table:
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    return pa.table({name: pa.array(c, kinds[kind]) for (name, kind), c in zip(fields, columns)})
+
+
+def _distinct(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equally long byte rows: whether an equal one has a lesser id, and for the others the first equal one."""
+    order = multikey_order(rows)
+    ranked = rows[order]
+    starts = np.flatnonzero(np.concatenate([[True], (ranked[1:] != ranked[:-1]).any(axis=1)]))
+    sizes = np.diff(np.append(starts, len(rows)))
+    least = np.empty(len(rows), np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(ids[order], starts), sizes)
+    holder = np.where(ids == least, np.arange(len(rows)), len(rows))
+    first = np.empty(len(rows), np.int64)
+    first[order] = np.repeat(np.minimum.reduceat(holder[order], starts), sizes)
+    return ids > least, first
+
+
+def _merged(found: np.ndarray) -> np.ndarray:
+    """Overlapping and touching stretches of one row and document made one; sorted."""
+    found = found[np.lexsort((found["start"], found["doc"], found["row"]))]
+    if len(found) < 2:
+        return found
+    other = np.concatenate([[True], (found["doc"][1:] != found["doc"][:-1]) | (found["row"][1:] != found["row"][:-1])])
+    shift = np.cumsum(other) << 40  # keeps the running end of one document from the next
+    reach = np.maximum.accumulate(found["end"] + shift)
+    new = other | np.concatenate([[True], found["start"][1:] + shift[1:] > reach[:-1]])
+    starts = np.flatnonzero(new)
+    out = found[starts]
+    out["end"] = (reach - shift)[np.append(starts[1:], len(found)) - 1]
+    return out
+
+
+def _aliased(found: np.ndarray, aliases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in found, in aliases) of every pair with one ``row``; both sorted by it."""
+    low = np.searchsorted(aliases["row"], found["row"], side="left")
+    n = np.searchsorted(aliases["row"], found["row"], side="right") - low
+    at = np.repeat(np.arange(len(found)), n)
+    return at, np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+
+
+def _rows_of(count: int, kind: np.dtype, **columns) -> np.ndarray:
+    out = np.empty(count, kind)
+    for name, values in columns.items():
+        out[name] = values
+    return out
+
+
+@dataclass(frozen=True)
+class Routes:
+    """Ranges of grams from sampled splitters; each range is dealt over ``parts`` buckets by the whole gram."""
+
+    splitters: np.ndarray
+    parts: int
+
+    @property
+    def buckets(self) -> int:
+        return (len(self.splitters) + 1) * self.parts
+
+    def of_grams(self, grams: np.ndarray) -> np.ndarray:
+        names = np.ascontiguousarray(grams).view(f"S{GRAM}").ravel()
+        ranges = np.searchsorted(self.splitters, names, side="right") if len(self.splitters) else np.zeros(len(names), int)
+        words = np.ascontiguousarray(grams).view("<u8")
+        deal = (_mixed(words[:, 0], words[:, 1], words[:, 2]) >> np.uint64(20)) % np.uint64(self.parts)
+        return ranges * self.parts + deal.astype(np.int64)
+
+    def of_windows(self, windows: np.ndarray) -> np.ndarray:
+        words = [np.ascontiguousarray(windows[:, k : k + 8]).view("<u8").ravel() for k in (0, 21, 42)]
+        return ((_mixed(*words) >> np.uint64(20)) % np.uint64(self.buckets)).astype(np.int64)
+
+
+class _Sender:
+    """What a chunk sends, gathered a slice at a time.
+
+    Equal contexts of a chunk are made one before anything else, in order of
+    their grams so that equal ones come together: those with a lesser holder in
+    the chunk are found here, of the others one is sent and the rest remembered
+    as its aliases. Contexts of frequent grams are then spread into windows,
+    and equal windows are made one in the same way.
+    """
+
+    def __init__(self, chunk: int, texts: list[bytes], ids: np.ndarray, routes: Routes):
+        self.chunk, self.ids, self.routes = chunk, ids, routes
+        self.base = np.cumsum([0] + [len(t) for t in texts])[:-1] + _BEFORE
+        self.data = np.frombuffer(bytes(_BEFORE) + b"".join(texts) + bytes(LENGTH), np.uint8)
+        self.sent, self.found, self.aliases, self.windows, self.next = [], [], [], [], _WINDOWS
+        self.compress = zstandard.ZstdCompressor(level=1).compress
+
+    def _bytes(self, at: np.ndarray, width: int) -> np.ndarray:
+        return np.lib.stride_tricks.sliding_window_view(self.data, width)[at]
+
+    def contexts(self, row, doc, at, first, last, often) -> None:
+        k, left, size = len(row), at - first, last - first + LENGTH
+        place = self.base[doc] + at
+        rows = np.zeros((k, _BEFORE + LENGTH + 4), np.uint8)
+        whole = self._bytes(place - _BEFORE, _BEFORE + LENGTH)
+        column = np.arange(_BEFORE + LENGTH)
+        inside = (column >= _BEFORE - left[:, None]) & (column < _BEFORE - left[:, None] + size[:, None])
+        rows[:, : _BEFORE + LENGTH] = np.where(inside, whole, 0)
+        rows[:, -4], rows[:, -3] = left, size
+        gone, one = _distinct(rows, self.ids[doc])
+        self.found.append(_rows_of(gone.sum(), _FOUND, row=-1, doc=doc[gone], start=first[gone], end=last[gone] + LENGTH))
+        other = ~gone & (one != np.arange(k))
+        same = one[other]
+        self.aliases.append(_rows_of(len(same), _ALIAS, row=row[same], doc=doc[other], shift=first[other] - first[same]))
+        mine = ~gone & ~other
+        plain, frequent = np.flatnonzero(mine & ~often), np.flatnonzero(mine & often)
+        if len(plain):
+            grams = rows[plain, _BEFORE : _BEFORE + GRAM]
+            texts = [whole[plain][inside[plain]]]
+            self._send(self.routes.of_grams(grams), row[plain], doc[plain], first[plain], left[plain], size[plain], texts[0])
+        spread = last[frequent] - first[frequent] + 1
+        cuts = np.searchsorted(np.cumsum(spread), np.arange(_SLICE, spread.sum() + _SLICE, _SLICE))
+        for some in np.split(frequent, np.unique(cuts)):
+            if len(some):
+                self._spread(row[some], doc[some], at[some], first[some], last[some])
+
+    def _spread(self, row, doc, at, first, last) -> None:
+        n = last - first + 1
+        owner = np.repeat(np.arange(len(row)), n)
+        start = first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        ahead, doc_of = at[owner] - start, doc[owner]
+        rows = np.zeros((len(owner), LENGTH + 6), np.uint8)
+        rows[:, :LENGTH] = self._bytes(self.base[doc_of] + start, LENGTH)
+        rows[:, LENGTH] = ahead
+        gone, one = _distinct(rows, self.ids[doc_of])
+        self.found.append(_rows_of(gone.sum(), _FOUND, row=row[owner[gone]], doc=doc_of[gone], start=start[gone], end=start[gone] + LENGTH))
+        mine = np.flatnonzero(~gone & (one == np.arange(len(one))))
+        number = np.zeros(len(one), np.int64)
+        number[mine] = self.next + np.arange(len(mine))
+        self.next += len(mine)
+        kept = np.flatnonzero(~gone)
+        self.windows.append(
+            _rows_of(len(kept), _WINDOW, row=number[one[kept]], of=row[owner[kept]], doc=doc_of[kept], start=start[kept])
+        )
+        texts = rows[mine, :LENGTH]
+        sizes = np.full(len(mine), LENGTH)
+        self._send(self.routes.of_windows(texts), number[mine], doc_of[mine], start[mine], ahead[mine], sizes, texts.ravel())
+
+    def _send(self, bucket, row, doc, start, left, size, texts) -> None:
+        begin = np.cumsum(size) - size
+        for name, some in _by_bucket(bucket):
+            joined = texts[_ranges(begin[some], size[some])].tobytes()
+            self.sent.append(
+                (
+                    name, self.chunk, row[some].astype("<i4").tobytes(), doc[some].astype("<i4").tobytes(),
+                    self.ids[doc[some]].astype("<i8").tobytes(), start[some].astype("<i8").tobytes(),
+                    left[some].astype(np.uint8).tobytes(), size[some].astype(np.uint8).tobytes(), self.compress(joined),
+                )
+            )
+
+    def table(self) -> pa.Table:
+        """With one more row, which passes through some bucket: what was found here, and the aliases."""
+        found = _merged(np.concatenate(self.found)) if self.found else np.zeros(0, _FOUND)
+        rest = [np.concatenate(v) if v else np.zeros(0, k) for v, k in ((self.aliases, _ALIAS), (self.windows, _WINDOW))]
+        blobs = [v.tobytes() for v in (found, *rest)]
+        if any(blobs):
+            self.sent.append((self.chunk % self.routes.buckets, self.chunk, *blobs, None, None, None, None))
+        return _table(_SENT, self.sent)
 
 
-_SENT = "bucket int, chunk int, docs binary, ids binary, starts binary, lefts binary, sizes binary, texts binary"
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers begin[0], begin[0] + 1, ... of each range, one after the other."""
+    return np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
 
 
-def _send(buckets: int, splitters: np.ndarray):
+def _send(buckets: int, routes: Routes):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.Table:
         table, texts = _texts(table)
         doc, hashes, at, first, last = _all_chosen(texts)
-        bucket, _ = _routed(hashes, buckets)
+        names, place = np.unique(_routed(hashes, buckets), return_inverse=True)
+        del hashes
         answers = {r["bucket"]: r for r in told.to_pylist()}
-        again, often = np.zeros(len(doc), bool), np.zeros(len(doc), bool)
-        for name, rows in _by_bucket(bucket):
+        again, often = np.zeros(len(names), bool), np.zeros(len(names), bool)
+        for name, rows in _by_bucket((names >> np.uint64(40)).astype(np.int64)):
             again[rows] = np.unpackbits(np.frombuffer(answers[name]["again"], np.uint8), count=len(rows))
             often[rows] = np.unpackbits(np.frombuffer(answers[name]["often"], np.uint8), count=len(rows))
+        rows = np.flatnonzero(again[place])
+        rows = rows[np.argsort(place[rows], kind="stable")]
         ids = np.where(np.array(table["no_id"]), _NO_ID, np.array(table["id"])).astype(np.int64)
-        # frequent grams: a row for each window
-        spread = np.where(often, last - first + 1, 1)[again]
-        doc, at, first, last, often = (np.repeat(x[again], spread) for x in (doc, at, first, last, often))
-        step = np.arange(len(doc)) - np.repeat(np.cumsum(spread) - spread, spread)
-        first = first + np.where(often, step, 0)
-        last = np.where(often, first, last)
-        sent, where, found, seen = [], [], [], {}
-        for k, (d, a, f, z, one) in enumerate(zip(doc.tolist(), at.tolist(), first.tolist(), last.tolist(), often.tolist())):
-            text = texts[d][f : z + LENGTH]
-            # documents come in the order of their ids, so the first to hold a text has the least
-            holder = seen.setdefault((text, a - f), ids[d])
-            if holder < ids[d]:
-                found.append((d, f, z + LENGTH))
-                continue
-            sent.append(k)
-            where.append(_leading(text) if one else _leading(texts[d][a : a + 8]))
-        sent = np.array(sent, np.int64)
-        keys = np.array(where, np.uint64)
-        single = often[sent]
-        target = np.searchsorted(splitters, keys, side="right")
-        if single.any():
-            alone = [hash_of(texts[d][f : f + LENGTH]) % buckets for d, f in zip(doc[sent][single], first[sent][single])]
-            target[single] = alone
-        rows = {name: [] for name in ("bucket", "chunk", "docs", "ids", "starts", "lefts", "sizes", "texts")}
-
-        def add(name, *parts):
-            for column, part in zip(rows, (name, key[0].as_py(), *parts)):
-                rows[column].append(part)
-
-        compress = zstandard.ZstdCompressor(level=1).compress
-        for name, some in _by_bucket(target):
-            own = sent[some]
-            d, f, z = doc[own], first[own], last[own]
-            joined = b"".join(texts[i][a : b + LENGTH] for i, a, b in zip(d.tolist(), f.tolist(), z.tolist()))
-            add(
-                name, d.astype("<i4").tobytes(), ids[d].astype("<i8").tobytes(), f.astype("<i8").tobytes(),
-                (at[own] - f).astype(np.uint8).tobytes(), (z - f + LENGTH).astype(np.uint8).tobytes(), compress(joined),
-            )
-        if found:  # decided here already: passes through some bucket
-            add(key[0].as_py() % buckets, np.array(found, _FOUND).tobytes(), *[None] * 5)
-        kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 6
-        return pa.table({c: pa.array(v, t) for (c, v), t in zip(rows.items(), kinds)})
+        sender = _Sender(key[0].as_py(), texts, ids, routes)
+        for start in range(0, len(rows), _SLICE):
+            some = rows[start : start + _SLICE]
+            sender.contexts(some, doc[some], at[some], first[some], last[some], often[place[some]])
+        return sender.table()
 
     return run
 
 
-def hash_of(window: bytes) -> int:
-    a, b, c = (np.frombuffer(window[k : k + 8], "<u8") for k in (0, 21, 42))
-    return int(_mixed(a, b, c)[0] >> np.uint64(20))
-
-
 def multikey_order(rows: np.ndarray) -> np.ndarray:
     """Order of equally long byte rows, sorted by eight bytes at a time; only ties go on to the next eight."""
     n, width = rows.shape
@@ -323,17 +467,20 @@ def kept_by_another(texts: np.ndarray, begins, lefts, sizes, ids) -> tuple[np.nd
     return most, fewest
 
 
+_ANSWERED = "chunk int, found binary, aliases binary, windows binary"
+
+
 def _sort_bucket(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    chunks, done = [], []
-    parts = {name: [] for name in ("chunk", "docs", "ids", "starts", "lefts", "sizes", "texts")}
+    out = []
+    parts = {name: [] for name in ("chunk", "rows", "docs", "ids", "starts", "lefts", "sizes", "texts")}
     unpack = zstandard.ZstdDecompressor().decompress
     for row in table.to_pylist():
         if row["texts"] is None:
-            chunks.append(row["chunk"])
-            done.append(row["docs"])
+            out.append((row["chunk"], row["rows"], row["docs"], row["ids"]))
             continue
         docs = np.frombuffer(row["docs"], "<i4")
         parts["chunk"].append(np.full(len(docs), row["chunk"], np.int32))
+        parts["rows"].append(np.frombuffer(row["rows"], "<i4"))
         parts["docs"].append(docs)
         parts["ids"].append(np.frombuffer(row["ids"], "<i8"))
         parts["starts"].append(np.frombuffer(row["starts"], "<i8"))
@@ -341,17 +488,35 @@ def _sort_bucket(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         parts["sizes"].append(np.frombuffer(row["sizes"], np.uint8).astype(np.int64))
         parts["texts"].append(np.frombuffer(unpack(row["texts"]), np.uint8))
     if parts["docs"]:
-        chunk, doc, ids, start, left, size, text = (np.concatenate(v) for v in parts.values())
+        chunk, number, doc, ids, start, left, size, text = (np.concatenate(v) for v in parts.values())
         parts.clear()
         most, fewest = kept_by_another(text, np.cumsum(size) - size, left, size, ids)
         hit = np.flatnonzero(most >= 0)
         suffix = start[hit] + left[hit]
-        found = np.empty(len(hit), _FOUND)
-        found["doc"], found["start"], found["end"] = doc[hit], suffix - most[hit], suffix - fewest[hit] + LENGTH
-        for name, rows in _by_bucket(chunk[hit]):
-            chunks.append(name)
-            done.append(found[rows].tobytes())
-    return pa.table({"chunk": pa.array(chunks, pa.int32()), "found": pa.array(done, pa.binary())})
+        found = _rows_of(
+            len(hit), _FOUND, row=number[hit], doc=doc[hit], start=suffix - most[hit], end=suffix - fewest[hit] + LENGTH
+        )
+        out += [(name, found[rows].tobytes(), None, None) for name, rows in _by_bucket(chunk[hit])]
+    return _table(_ANSWERED, out)
+
+
+def _resolved(found: pa.Table) -> np.ndarray:
+    """Stretches of documents that go: what was found of rows sent holds for all their aliases."""
+    blobs = [b"".join(b for b in found[c].to_pylist() if b) for c in ("found", "aliases", "windows")]
+    rows, aliases, windows = (np.frombuffer(b, k) for b, k in zip(blobs, (_FOUND, _ALIAS, _WINDOW)))
+    of_window = rows["row"] >= _WINDOWS
+    windows = windows[np.argsort(windows["row"], kind="stable")]
+    _, at = _aliased(rows[of_window], windows)
+    w = windows[at]
+    spread = _rows_of(len(w), _FOUND, row=w["of"], doc=w["doc"], start=w["start"], end=w["start"] + LENGTH)
+    rows = _merged(np.concatenate([rows[~of_window], spread]))
+    aliases = aliases[np.argsort(aliases["row"], kind="stable")]
+    at, of = _aliased(rows, aliases)
+    a = aliases[of]
+    more = _rows_of(len(a), _FOUND, doc=a["doc"], start=rows["start"][at] + a["shift"], end=rows["end"][at] + a["shift"])
+    rows = np.concatenate([rows, more])
+    rows["row"] = 0
+    return _merged(rows)
 
 
 _CUT = "no_id boolean, id bigint, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary"
@@ -359,17 +524,12 @@ _CUT = "no_id boolean, id bigint, n_bytes bigint, spans array<struct<start: bigi
 
 def _cut(key: tuple[pa.Scalar, ...], table: pa.Table, found: pa.Table) -> pa.Table:
     table, texts = _texts(table)
-    rows = np.frombuffer(b"".join(found["found"].to_pylist()), _FOUND)
-    rows = rows[np.lexsort((rows["start"], rows["doc"]))]
+    rows = _resolved(found)
     edges = np.searchsorted(rows["doc"], np.arange(len(texts) + 1))
     spans, kept = [], []
     for k, text in enumerate(texts):
-        own, merged, rest, at = rows[edges[k] : edges[k + 1]], [], [], 0
-        for start, end in zip(own["start"].tolist(), own["end"].tolist()):
-            if merged and start <= merged[-1]["end"]:
-                merged[-1]["end"] = max(merged[-1]["end"], end)
-            else:
-                merged.append({"start": start, "end": end})
+        own, rest, at = rows[edges[k] : edges[k + 1]], [], 0
+        merged = [{"start": a, "end": b} for a, b in zip(own["start"].tolist(), own["end"].tolist())]
         for span in merged:
             rest.append(text[at : span["start"]])
             at = span["end"]
@@ -387,8 +547,21 @@ def _cut(key: tuple[pa.Scalar, ...], table: pa.Table, found: pa.Table) -> pa.Tab
     )
 
 
+def _sampled_grams(pieces: list[bytes]) -> np.ndarray:
+    """The gram of the first chosen suffix of each piece, sorted."""
+    grams = []
+    for piece in pieces:
+        for _, _, at, _, _ in chosen([piece]):
+            grams.append(piece[at[0] : at[0] + GRAM])
+    return np.sort(np.array(grams, f"S{GRAM}"))
+
+
 def without_repeats(
-    docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, frequent: int = FREQUENT
+    docs: DataFrame,
+    chunk_bytes: int = CHUNK_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
+    frequent: int = FREQUENT,
+    hash_bytes: int = HASH_BYTES,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, spans (removed bytes, ``end`` exclusive), kept (binary).
 
@@ -407,24 +580,23 @@ def without_repeats(
     )
     size = F.octet_length("bytes")
     total, texts = rows.agg(F.coalesce(F.sum(size), F.lit(0)), F.count("*")).first()
-    # leading bytes at one place of some texts; a text that is repeated counts once
-    place = F.pmod(F.xxhash64("text_hash"), F.greatest(size, F.lit(1)).cast("bigint")) + 1
+    # a few bytes at one place of some texts; a text that is repeated counts once
+    place = F.pmod(F.xxhash64("text_hash"), F.greatest(size - _SAMPLE_BYTES, F.lit(1)).cast("bigint")) + 1
     sampled = (
         rows.where(F.pmod("text_hash", F.lit(max(1, texts))) < SAMPLED)
-        .select("text_hash", F.expr("bytes").substr(place.cast("int"), F.lit(8)).alias("lead"))
+        .select("text_hash", F.expr("bytes").substr(place.cast("int"), F.lit(_SAMPLE_BYTES)).alias("piece"))
         .distinct()
         .collect()
     )
-    chunks, buckets = total // chunk_bytes + 1, total // bucket_bytes + 1
-    leads = np.sort(np.array([_leading(bytes(r.lead)) for r in sampled], np.uint64))
-    splitters = leads[(np.arange(1, buckets) * len(leads)) // buckets] if len(leads) else leads
+    chunks, hashed, buckets = total // chunk_bytes + 1, total // hash_bytes + 1, total // bucket_bytes + 1
+    grams = _sampled_grams([bytes(r.piece) for r in sampled])
+    ranges = max(min(buckets, len(grams) // 4), 1)
+    routes = Routes(np.unique(grams[(np.arange(1, ranges) * len(grams)) // ranges]), -(-buckets // ranges))
 
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64(*_DOC), F.lit(chunks)).cast("int"))
-    announced = dealt.groupBy("chunk").applyInArrow(_announce(buckets), "bucket int, chunk int, bits binary")
-    told = announced.groupBy("bucket").applyInArrow(
-        _compare(frequent), "chunk int, bucket int, again binary, often binary"
-    )
-    sent = dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_send(buckets, splitters), _SENT)
-    found = sent.groupBy("bucket").applyInArrow(_sort_bucket, "chunk int, found binary")
+    announced = dealt.groupBy("chunk").applyInArrow(_announce(hashed), _ANNOUNCED)
+    told = announced.groupBy("bucket").applyInArrow(_compare(frequent), _TOLD)
+    sent = dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_send(hashed, routes), _SENT)
+    found = sent.groupBy("bucket").applyInArrow(_sort_bucket, _ANSWERED)
     cut = dealt.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_cut, _CUT)
     return cut.select(F.expr("if(no_id, null, id)").alias("doc_id"), "n_bytes", "spans", "kept")

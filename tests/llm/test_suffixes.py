@@ -100,3 +100,26 @@ def test_empty_and_texts_move_once(spark, tiny):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ReusedExchange") >= 2
+
+
+def test_one_paragraph_over_and_over(spark):
+    """Periodic text of several megabytes: a chunk sends its few contexts once, whatever is frequent."""
+    paragraph = "All work and no play makes a dull text of one paragraph again. "
+    rows = [(1, paragraph * 8), (2, paragraph * 64_000), (3, "before:" + paragraph * 30 + "after"), (4, "own words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for frequent in (20_000, 10):
+        got = {r.doc_id: (r.n_bytes, [tuple(s) for s in r.spans]) for r in suffixes.without_repeats(df, frequent=frequent).collect()}
+        n = len(paragraph)
+        assert got == {1: (n * 8, []), 2: (n * 64_000, [(0, n * 64_000)]), 3: (n * 30 + 12, [(7, 7 + n * 30)]), 4: (9, [])}
+
+
+def test_what_a_chunk_sends_of_repeats():
+    """Contexts that repeat within a chunk are sent once, with aliases for the rest."""
+    text = b"abcdefghijklmnopqrstuvwxyz0123456789" * 20_000
+    routes = suffixes.Routes(np.zeros(0, "S24"), 3)
+    doc, _, at, first, last = suffixes._all_chosen([text])
+    for often in (False, True):
+        sender = suffixes._Sender(0, [text], np.array([7]), routes)
+        sender.contexts(np.arange(len(doc)), doc, at, first, last, np.full(len(doc), often))
+        sent = sum(len(r[2]) // 4 for r in sender.table().to_pylist() and sender.sent if r[-1])
+        assert len(doc) > 15_000 and sent < 150
