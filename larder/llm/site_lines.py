@@ -1,8 +1,8 @@
 """Line dedup by site-relative frequency.
 
 Pages are grouped by host. A line is boilerplate of its host if more than
-``RATIO`` of the host's pages contain it and the host has at least ``LEAST``
-pages. DataFrame operations only.
+``RATIO`` of the host's pages contain it, and at least ``LEAST`` of them do, as a
+single page cannot show that a line repeats. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from larder.llm.common import stored, text_or_empty
 
 RATIO = 0.1
-LEAST = 10
+LEAST = 2
 
 # tags that end a line; others are dropped in place
 _BLOCK = (
@@ -49,9 +49,8 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> D
     counts = pages.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(
         F.count("*").alias("with_line")
     )
-    common = counts.where("with_line > 1").join(totals, "host")
-    wanted = (F.col("pages") >= least) & (F.col("with_line") > F.col("pages") * F.lit(ratio))
-    return common.where(wanted).groupBy("host").agg(F.array_sort(F.collect_set("line")).alias("common"))
+    common = counts.where(F.col("with_line") >= least).join(totals, "host")
+    return common.where(F.col("with_line") > F.col("pages") * F.lit(ratio)).groupBy("host").agg(F.array_sort(F.collect_set("line")).alias("common"))
 
 
 def without_boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> DataFrame:

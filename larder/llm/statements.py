@@ -110,7 +110,7 @@ line AS (SELECT r, host, unnest(list_distinct(lines)) AS line FROM lined),
 common AS (
   SELECT l.host, l.line FROM line l JOIN totals t ON l.host = t.host
   GROUP BY l.host, l.line, t.pages
-  HAVING t.pages >= 10 AND count(*) > 1 AND count(*) > t.pages * 0.1::DOUBLE),
+  HAVING count(*) > 1 AND count(*) > t.pages * 0.1::DOUBLE),
 listed AS (SELECT host, list(line) AS common FROM common GROUP BY host)
 SELECT p.page_id, p.host, CAST(len(p.lines) AS BIGINT) AS n_lines,
        CAST(len(p.lines) - len(list_filter(p.lines, lambda x: NOT list_contains(coalesce(c.common, []), x))) AS BIGINT) AS n_dropped,
@@ -118,9 +118,27 @@ SELECT p.page_id, p.host, CAST(len(p.lines) AS BIGINT) AS n_lines,
 FROM lined p LEFT JOIN listed c ON p.host = c.host
 """
 
+NEIGHBOURS = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x, row_number() OVER () AS r
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT q.r AS asking, q.vec_id AS query_id, c.vec_id, c.r,
+         CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.r <> c.r
+  WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY asking ORDER BY score DESC, vec_id NULLS LAST, r) AS INTEGER) AS rank,
+         vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
 ORACLE_SQL = {
     "op4_decontaminate": LEAKS,
     "op8_site_lines": SITE_LINES,
     "op6_mix_sources": MIX,
     "op7_exact_dedup": EXACT,
+    "op12_voronoi_join": NEIGHBOURS,
 }

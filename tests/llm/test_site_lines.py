@@ -19,3 +19,22 @@ def test_hard_cases(spark):
 def test_long_page(spark):
     df = spark.createDataFrame([("<p>" + "x " * 200_000 + "<br>\n" * 1000 + "<unclosed " * 1000,)], "html string")
     assert df.select(html_lines(df.html).alias("l")).selectExpr("size(l)").first()[0] >= 1
+
+
+def test_small_hosts(spark):
+    """The ratio decides on hosts of every size, once two pages hold the line."""
+    rows, want = [], []
+    for n in range(1, 10):
+        for k in range(n):
+            own = f"<p>own {n} {k}<p>footer"
+            rows.append((len(rows), f"https://host{n}.example/{k}", own + ("<p>twice" if k < 2 else ""), "", ""))
+            common = ["footer", "twice"][: 1 + (k < 2)]
+            want.append((f"host{n}.example", len(common) if n > 1 else 0, f"own {n} {k}" if n > 1 else f"own {n} {k}\nfooter\ntwice"))
+    got = without_boilerplate(spark.createDataFrame(rows, SCHEMA))
+    assert sorted((r.host, r.n_dropped, r.kept_text) for r in got.collect()) == sorted(want)
+
+
+def test_repeated_pages_without_scheme(spark):
+    rows = [(1, "plain.example/a", "<p>one<p>two", "", "")] * 3 + [(2, "other.example", "<p>three", "", "")]
+    got = without_boilerplate(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.host for r in got} == {""} and sorted(r.kept_text for r in got) == ["", "", "", "three"]
