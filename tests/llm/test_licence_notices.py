@@ -49,3 +49,51 @@ def test_notice(licence, text, mark):
 def test_others_are_not_taken():
     for text in ("It is not licensed under the MIT License, sadly.", "Nobody knows whether all of this is licensed under the MIT License.", "Nothing here is licensed under the MIT License.", "The GNU General Public License is long."):
         assert scan(text)[1] == []
+
+
+@pytest.mark.parametrize(
+    "text, expression",
+    [
+        ("# SPDX-License-Identifier: MIT\nimport os\nimport sys", "MIT"),
+        ("/* SPDX-License-Identifier: GPL-2.0 */\nint x;", "GPL-2.0"),
+        ("<!-- SPDX-License-Identifier: Apache-2.0 OR MIT -->", "Apache-2.0 OR MIT"),
+        ("// SPDX-License-Identifier: (GPL-2.0+ WITH Classpath-exception-2.0) AND ( MIT OR LicenseRef-own )\r\nx", "(GPL-2.0+ WITH Classpath-exception-2.0) AND (MIT OR LicenseRef-own)"),
+        ("SPDX-License-Identifier: MIT AND", "MIT"),
+        ("SPDX-License-Identifier: MIT. See the file", "MIT"),
+        ("x = 1  # SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"),
+    ],
+)
+def test_spdx_lines(text, expression):
+    assert [s["licence"] for s in scan(text)[1]] == [expression]
+
+
+def test_no_spdx_expression():
+    for text in ("SPDX-License-Identifier:", "SPDX-License-Identifier: */", "SPDX-License-Identifier: AND MIT"):
+        assert scan(text)[1] == []
+
+
+MORE = {
+    "GPL-2-only": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+        "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; version 2 of the License.",
+    ],
+    "LGPL-2-or-later": [FREE.format(what="library", kind="Library ", version="2")],
+    "MIT": ["MIT licensed.", "License: MIT", "MIT License", "The MIT License (MIT)"],
+    "Apache-2.0": ["Licensed under Apache 2.0.", "The code is licensed under the Apache 2.0."],
+    "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0."],
+    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0."],
+    "CC0-1.0": ["CC0 1.0 Universal", "Creative Commons Legal Code\n\nCC0 1.0 Universal"],
+    "BSD": ["Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0.", "Boost Software License - Version 1.0 - August 17th, 2003"],
+    "Zlib": ["Released under the zlib license.", "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n\n1. The origin"],
+    "Artistic-2.0": ["Distributed under the Artistic License 2.0.", "The Artistic License 2.0"],
+    "GFDL-1.3-or-later": ["Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation; with no Invariant Sections."],
+}
+
+
+@pytest.mark.parametrize("licence, text", [(k, t) for k, v in MORE.items() for t in v])
+@pytest.mark.parametrize("mark", ["", "# "])
+def test_more_notices(licence, text, mark):
+    marked = "\n".join(mark + line for line in f"Before.\n\n{text}\n\nAfter.".split("\n"))
+    assert {s["licence"] for s in scan(marked)[1]} == {licence}
