@@ -102,11 +102,19 @@ def gold_table(name: str, source: DataFrame, as_of: dt.date | str | None = None)
     raise KeyError(name)
 
 
+# gold table -> columns its files are partitioned by
+GOLD_PARTITIONS = {"ventes_enrichies": ("annee", "mois")}
+
+
 def build_gold(spark: SparkSession, layers: Layers = Layers(), as_of: dt.date | str | None = None) -> None:
     for name, (source, key, comment, columns) in GOLD.items():
         target = f"{layers.analytics}.{name}"
-        sink.materialize(gold_table(name, spark.table(f"{layers.silver}.{source}"), as_of), target)
-        sink.document(spark, target, comment, columns)
+        rows = gold_table(name, spark.table(f"{layers.silver}.{source}"), as_of)
+        parts = GOLD_PARTITIONS.get(name, ())
+        for column in parts:  # a partition column takes its comment from the rows, not afterwards
+            rows = rows.withMetadata(column, {"comment": columns[column]})
+        sink.materialize(rows, target, parts)
+        sink.document(spark, target, comment, {c: text for c, text in columns.items() if c not in parts})
         sink.declare_key(spark, target, [key])
 
 

@@ -57,7 +57,13 @@ def create_bronze(spark: SparkSession, database: str = "bronze") -> list[str]:
 
 
 def materialize(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Create or replace ``table`` with the rows of ``df``."""
+    """Create or replace ``table`` with the rows of ``df``.
+
+    With ``partition_by``, the rows of a partition are brought together before
+    the write, so that each has few files; adaptive execution splits large ones.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.format("parquet").mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
 
 
@@ -78,16 +84,27 @@ def document(spark: SparkSession, table: str, comment: str, columns: Mapping[str
 
 
 KEY_PROPERTY = "larder.primary_key"
+# option of a partitioned table: an overwrite replaces only the partitions it writes
+ONLY_WRITTEN = {"partitionOverwriteMode": "dynamic"}
 
 
 def declare_key(spark: SparkSession, table: str, key: Iterable[str]) -> None:
     """Record the logical key as a table property. It is checked by ``check_key``, not enforced."""
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_quoted(KEY_PROPERTY)} = {_quoted(','.join(key))})")
+    set_property(spark, table, KEY_PROPERTY, ",".join(key))
 
 
 def declared_key(spark: SparkSession, table: str) -> list[str]:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == KEY_PROPERTY).take(1)
-    return rows[0]["value"].split(",") if rows else []
+    key = declared_property(spark, table, KEY_PROPERTY)
+    return key.split(",") if key else []
+
+
+def set_property(spark: SparkSession, table: str, name: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_quoted(name)} = {_quoted(value)})")
+
+
+def declared_property(spark: SparkSession, table: str, name: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == name).take(1)
+    return rows[0]["value"] if rows else None
 
 
 def check_key(spark: SparkSession, table: str) -> DataFrame:
