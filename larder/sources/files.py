@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column as Expr, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column as Expr, DataFrame, SparkSession, Window, functions as F, types as T
 
 from larder.schemas import TABLES, Column, Table
 
 CORRUPT = "_corrupt_record"
 ERRORS = "line_error"
 SOURCE = "_source_file"
+# where a record is: the byte at which its split of the file starts, and its number among the task's records
+BLOCK, ROW = "_block_start", "_row"
 
 # Options of the three file formats and the texts that mean NULL.
 CSV_OPTIONS = {
@@ -106,11 +108,20 @@ def _split(rows: DataFrame, table: Table, broken: Expr | None = None) -> Loaded:
     good = judged.filter(F.size(ERRORS) == 0).select(*[typed(c).alias(c.name) for c in table.columns])
     as_line = F.to_csv(F.struct(*table.names))
     raw = F.coalesce(F.col(CORRUPT), as_line) if broken is not None else as_line
-    rejects = judged.filter(F.size(ERRORS) > 0).select(raw.alias("raw"), ERRORS)
+    places = [c for c in (SOURCE, BLOCK, ROW) if c in rows.columns and ROW in rows.columns]
+    rejects = judged.filter(F.size(ERRORS) > 0).select(raw.alias("raw"), ERRORS, *places)
     return Loaded(good, rejects)
 
 
-def csv_text(reader, path: str, table: Table, **options) -> DataFrame:
+def _place() -> list[Expr]:
+    return [
+        F.col("_metadata.file_path").alias(SOURCE),
+        F.col("_metadata.file_block_start").alias(BLOCK),
+        F.monotonically_increasing_id().alias(ROW),
+    ]
+
+
+def csv_text(reader, path: str, table: Table, place: bool = False, **options) -> DataFrame:
     """All fields as text, trimmed, with NULL texts applied, plus the raw line of broken rows.
 
     ``reader`` is ``spark.read`` or ``spark.readStream``. Column pruning is off
@@ -128,16 +139,16 @@ def csv_text(reader, path: str, table: Table, **options) -> DataFrame:
         .schema(schema)
         .csv(path)
     )
-    return raw.select(*[_null_texts(F.col(n)).alias(n) for n in table.names], CORRUPT)
+    return raw.select(*[_null_texts(F.col(n)).alias(n) for n in table.names], CORRUPT, *(_place() if place else ()))
 
 
-def tsv_text(reader, path: str, table: Table, **options) -> DataFrame:
+def tsv_text(reader, path: str, table: Table, place: bool = False, **options) -> DataFrame:
     """Tab-separated text without quoting; short rows are padded with NULL, long ones cut."""
     raw = reader.options(**(TSV_OPTIONS | options)).schema(table.text_schema).csv(path)
-    return raw.select(*[_null_texts(F.col(n)).alias(n) for n in table.names])
+    return raw.select(*[_null_texts(F.col(n)).alias(n) for n in table.names], *(_place() if place else ()))
 
 
-def json_text(reader, path: str, table: Table, **options) -> DataFrame:
+def json_text(reader, path: str, table: Table, place: bool = False, **options) -> DataFrame:
     """One object, or one array of objects, per line; fields as text, plus what does not parse.
 
     Large files split over many tasks. An array over several lines needs
@@ -152,7 +163,7 @@ def json_text(reader, path: str, table: Table, **options) -> DataFrame:
         .schema(schema)
         .json(path)
     )
-    return raw.select(*table.names, CORRUPT, F.col("_metadata.file_path").alias(SOURCE))
+    return raw.select(*table.names, CORRUPT, *(_place() if place else _place()[:1]))
 
 
 _TEXT = {"csv": csv_text, "tsv": tsv_text, "json": json_text}
@@ -232,6 +243,70 @@ def validate_load(spark: SparkSession, path: str, table: Table | str, **options)
     return load(spark, path, table, **options).rejects
 
 
+def validate_located(spark: SparkSession, path: str, table: Table | str, **options) -> DataFrame:
+    """Dry run with places: raw, line_error, file, block_start, record_in_block, record of every rejected row.
+
+    ``record`` counts the file's records from 1, the header and blank lines left
+    out; with neither line breaks in quotes nor blank lines it is the line less
+    the header's. ``block_start`` is the byte at which the record's split
+    begins. No order over the whole file is formed: a task numbers its own
+    records, and the records of each split are counted, one small row a split.
+    """
+    table = _table(table)
+    rows = text_rows(spark.read, path, table, place=True, **options)
+    splits = rows.groupBy(SOURCE, BLOCK).agg(F.count("*").alias("n"), F.min(ROW).alias("first"))
+    earlier = Window.partitionBy(SOURCE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    within = F.col(ROW) - F.col("first") + 1
+    return (
+        judged(rows, table)
+        .rejects.join(splits, [SOURCE, BLOCK])
+        .select(
+            "raw", ERRORS, F.col(SOURCE).alias("file"), F.col(BLOCK).alias("block_start"),
+            within.alias("record_in_block"), (within + F.col("before")).alias("record"),
+        )
+    )
+
+
+# an element of an array of flat objects: from its bracket up to the next one outside quotes, which end with the line
+_ELEMENT = r'\{(?:[^{"]++|"(?:[^"\\\n]|\\.)*+"?)*+'
+
+
+def load_json_elements(spark: SparkSession, path: str, table: Table | str, **options) -> Loaded:
+    """Files that are arrays of objects, each element judged by itself.
+
+    A file that parses is taken as it is. One that does not is one record, read
+    by one task; it is cut into its elements, each of which is parsed, cast and
+    taken or rejected alone. What stands between elements and is no object is a
+    reject of its own. The reason names the file and the element, from 1.
+    """
+    table = _table(table)
+    rows = json_text(spark.read, path, table, multiLine=True, **options)
+    whole = judge_json(rows.where(F.col(CORRUPT).isNull()), table)
+    # a declared field takes part, as Spark refuses to read broken records alone
+    broken = rows.where(F.col(CORRUPT).isNotNull() & (F.coalesce(F.length(table.names[0]), F.lit(0)) >= 0))
+    text = F.col(CORRUPT)
+    chunks = F.concat(
+        F.array(F.regexp_extract(text, r"^[\s\[]*+([^{]*)", 1)), F.regexp_extract_all(text, F.lit(_ELEMENT), F.lit(0))
+    )
+    pieces = F.flatten(
+        F.transform(
+            chunks,
+            lambda c: F.array(F.regexp_extract(c, r"(?s)^(\{.*\})", 1), F.regexp_replace(c, r"(?s)^\{.*\}", "")),
+        )
+    )
+    bare = F.filter(F.transform(pieces, lambda p: F.regexp_replace(p, r"^[\s,\]]+|[\s,\]]+$", "")), lambda p: p != "")
+    schema = T.StructType([*table.text_schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("element", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    elements = (
+        broken.select(SOURCE, F.posexplode(bare).alias("at", "element"))
+        .select(parsed.alias("fields"), F.concat_ws(" element ", SOURCE, F.col("at") + 1).alias(SOURCE))
+        .select("fields.*", SOURCE)
+    )
+    alone = judge_json(elements, table)
+    return Loaded(whole.good.unionByName(alone.good), whole.rejects.unionByName(alone.rejects))
+
+
 def read_text_fields(
     spark: SparkSession, path: str, table: Table | str, format: str | None = None, **options
 ) -> DataFrame:
