@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,7 +18,7 @@ from larder.plans import customers, gold, logistics, marketing, promotions, qual
 from larder.plans import layers as batch
 from larder.schemas import TABLES
 from larder.session import scratch_folder
-from larder.sinks import tables as sink
+from larder.sinks import ledger, merges, tables as sink
 from larder.sinks.exports import PROMOTION_EXPORTS, SALES_EXPORTS, export_csv
 from larder.sinks.tables import Layers
 from larder.sources import files, landing
@@ -131,29 +132,81 @@ def _own_layers(s: StarSchema) -> Layers:
     return layers
 
 
-def _batch(s: StarSchema) -> DataFrame:
-    """The whole batch into stored tables, then what they hold."""
-    layers = _own_layers(s)
-    sink.create_bronze(s.spark, layers.bronze)
+def _and_gone(s: StarSchema, layers: Layers, found: DataFrame) -> DataFrame:
+    """The few rows of a report about layers of this run, which are then deleted."""
+    rows = s.spark.createDataFrame(found.collect(), found.schema)
+    for database in (layers.bronze, layers.silver, layers.analytics):
+        s.spark.sql(f"DROP SCHEMA {database} CASCADE")
+    return rows
 
-    def job(table: str):
-        raw = s.bronze(table)
-        return lambda: sink.append(raw, f"{layers.bronze}.{table}")
 
-    batch.run_together(s.spark, map(job, TABLES))
+def _batch(s: StarSchema) -> DataFrame:
+    """The whole batch from landing files into stored tables, then what they hold."""
+    folder, layers = landing.whole_landing(s), _own_layers(s)
+    sink.create_bronze(s.spark, layers.bronze)
+    batch.load_bronze(s.spark, folder, layers)
     batch.build_silver(s.spark, layers)
     batch.build_gold(s.spark, layers, AS_OF)
-    return batch.lake_inventory(s.spark, layers)
+    # one row for each table
+    return _and_gone(s, layers, batch.lake_inventory(s.spark, layers))
 
 
 def _loaded_once(s: StarSchema) -> DataFrame:
     """The landing folder loaded twice through the incremental load: every file counts once."""
     folder = landing.transactions_csv(s)
-    target = sink.create_table(s.spark, TABLES["financial_transactions"], _own_layers(s).bronze)
+    book = ledger.create_ledger(s.spark, "financial_transactions", _own_layers(s).bronze)
     state = scratch_folder(s.spark, "load-state")
     for _ in range(2):
-        load_new_files(s.spark, folder, "financial_transactions", target, state).awaitTermination()
-    return sink.read_table(s.spark, target)
+        load_new_files(s.spark, folder, "financial_transactions", book, state).awaitTermination()
+    return s.spark.table(book.good).drop(ledger.BATCH)
+
+
+def _merged_batches(s: StarSchema) -> DataFrame:
+    """Stock levels in three batches through ledger and merges, one batch stored and merged twice."""
+    layers, rows = _own_layers(s), s.bronze("inventory")
+    book = ledger.create_ledger(s.spark, "inventory", layers.bronze)
+    target = merges.create_mergeable(s.spark, "inventory", layers.silver, parts=16)
+    third = F.pmod(F.xxhash64(*rows.columns), F.lit(3))
+    for k in (0, 1, 1, 2):
+        ledger.put_batch(rows.where(third == k), book.good, f"batch-{k}")
+        merges.merge_clean(s.spark, "inventory", ledger.batch_rows(s.spark, book, f"batch-{k}"), target)
+    return merges.clean_rows(s.spark, target)
+
+
+def _located(s: StarSchema) -> DataFrame:
+    """Rejected rows by reason, and how many were found at the record of the file that they name."""
+    found = files.validate_located(s.spark, landing.numbered_csv(s), "financial_transactions")
+    named = [F.regexp_extract("raw", "#(\\d+):(\\d+)#", k).cast("bigint") for k in (1, 2)]
+    file = F.regexp_extract("file", r"part-(\d+)", 1).cast("bigint")
+    return found.select(F.explode(files.ERRORS).alias("reason"), ((named[0] == file) & (named[1] == F.col("record"))).alias("there")).groupBy(
+        "reason"
+    ).agg(F.count("*").alias("nb_rows"), F.count_if("there").alias("nb_located"))
+
+
+def _elements(s: StarSchema) -> files.Loaded:
+    return files.load_json_elements(s.spark, landing.inventory_arrays(s), "inventory")
+
+
+def _element_reasons(s: StarSchema) -> DataFrame:
+    return _elements(s).rejects.select(F.explode(files.ERRORS).alias("e")).select(
+        F.regexp_replace("e", "^(not valid JSON).*", "$1").alias("reason")
+    ).groupBy("reason").agg(F.count("*").alias("nb_rows"))
+
+
+def _csv_load(table: str) -> Query:
+    return _stage(lambda s: files.load_csv(s.spark, landing.table_csv(s, table), table).good)
+
+
+def _reconciled_landing(s: StarSchema) -> DataFrame:
+    """Records, stored rows and rejects of every landing file."""
+    folder = landing.whole_landing(s)
+
+    def one(table) -> DataFrame:
+        path = f"{folder}/{table.file}"
+        found = files.reconcile_load(s.spark, path, table, files.load(s.spark, path, table).good)
+        return found.select(F.lit(table.name).alias("table_name"), "*")
+
+    return reduce(DataFrame.unionByName, map(one, TABLES.values())).orderBy("table_name")
 
 
 def _overview(s: StarSchema) -> DataFrame:
@@ -314,7 +367,21 @@ QUERIES: dict[str, Query] = {
     ),
     "load_stores_rejects": _reject_reasons(landing.stores_json, "store_locations"),
     "reconcile_stores_load": _reconciled(landing.stores_json, "store_locations"),
+    "load_transactions_rejects_located": _stage(_located),
+    "load_inventory_json_array": _stage(lambda s: _elements(s).good),
+    "load_inventory_array_rejects": _stage(_element_reasons),
+    "load_customers_csv": _csv_load("customer_demographics"),
+    "load_service_csv": _csv_load("customer_service_interactions"),
+    "load_promotions_csv": _csv_load("promotions_data"),
+    "load_campaigns_csv": _csv_load("marketing_campaigns"),
+    "load_shipments_csv": _csv_load("logistics_and_shipping"),
+    "load_suppliers_csv": _csv_load("supplier_information"),
+    "load_employees_csv": _csv_load("employee_records"),
+    "load_shipments_rejects": _reject_reasons(lambda s: landing.table_csv(s, "logistics_and_shipping"), "logistics_and_shipping"),
+    "load_suppliers_rejects": _reject_reasons(lambda s: landing.table_csv(s, "supplier_information"), "supplier_information"),
+    "reconcile_landing": _stage(_reconciled_landing),
     "load_transactions_incremental": _stage(_loaded_once),
+    "clean_incremental": _stage(_merged_batches),
     "export_region_sales_csv": _export("financial_transactions", sales.filtered_region_sales, SALES_EXPORTS["regions"]),
     "export_monthly_sales_csv": _export("financial_transactions", sales.filtered_monthly_sales, SALES_EXPORTS["monthly"]),
     "export_weekday_sales_csv": _export("financial_transactions", sales.filtered_weekday_sales, SALES_EXPORTS["weekdays"]),

@@ -7,16 +7,87 @@ field counts in known rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from larder.plans.layers import run_together
 from larder.schemas import TABLES
 from larder.session import scratch_folder
 from larder.sources.star_schema import StarSchema
 
 
-def _write_lines(spark: SparkSession, lines: DataFrame, header: str, purpose: str) -> str:
+@dataclass(frozen=True)
+class Planted:
+    """What is spoilt in a table's rows: those whose number ends in 3, 5, 7, ... of 20."""
+
+    number: str
+    day: str | None
+    figure: str
+    text: str
+
+
+PLANTED = {
+    "customer_demographics": Planted("customer_id", "date_of_birth", "annual_income", "gender"),
+    "customer_service_interactions": Planted(
+        "CAST(interaction_id AS BIGINT)", "interaction_date", "duration_minutes", "follow_up_required"
+    ),
+    "promotions_data": Planted("CAST(substr(promotion_id, 3) AS BIGINT)", "start_date", "discount_percentage", "promotion_type"),
+    "marketing_campaigns": Planted("CAST(substr(campaign_id, 2) AS BIGINT)", "start_date", "budget", "campaign_type"),
+    "logistics_and_shipping": Planted(
+        "CAST(split_part(shipment_id, '-', 1) AS BIGINT) * 8 + CAST(split_part(shipment_id, '-', 2) AS BIGINT)",
+        "ship_date", "shipping_cost", "status",
+    ),
+    "supplier_information": Planted("CAST(supplier_id AS BIGINT)", None, "lead_time", "quality_rating"),
+    "employee_records": Planted("CAST(employee_id AS BIGINT)", "hire_date", "salary", "department"),
+}
+
+
+def table_csv(s: StarSchema, name: str, folder: str | None = None) -> str:
+    """A whole table as CSV, text in quotes, with the faults that ``PLANTED`` names."""
+    table, planted = TABLES[name], PLANTED[name]
+    n = f"({planted.number}) % 20"
+
+    def field(column) -> str:
+        text = f"CAST({column.name} AS STRING)"
+        if column.type == "string":
+            text = f"concat('\"', replace({column.name}, '\"', '\"\"'), '\"')"
+        if column.name == planted.day:
+            text = f"CASE WHEN {n} = 3 THEN 'someday' ELSE {text} END"
+        if column.name == planted.figure:
+            text = f"CASE WHEN {n} = 5 THEN 'bad' ELSE {text} END"
+        if column.name in table.primary_key:
+            text = f"CASE WHEN {n} = 7 THEN '  ' ELSE {text} END"
+        if column.name == planted.text:
+            text = f"CASE {n} WHEN 11 THEN repeat('x', {column.max_length + 1}) WHEN 17 THEN 'NULL' ELSE {text} END"
+        return f"coalesce({text}, '')"
+
+    fields = ", ".join(map(field, table.columns))
+    lines = s.bronze(name).selectExpr(f"concat(concat_ws(',', {fields}), CASE WHEN {n} = 13 THEN ',extra' ELSE '' END)")
+    return _write_lines(s.spark, lines, ",".join(table.names), name, folder)
+
+
+def whole_landing(s: StarSchema) -> str:
+    """A folder with the landing file of every table, faults in each."""
+    folder = scratch_folder(s.spark, "landing")
+    writers = {
+        "financial_transactions": transactions_csv, "product_reviews": reviews_tsv,
+        "inventory": inventory_json, "store_locations": stores_json,
+    }
+
+    def job(table):
+        path = f"{folder}/{table.file}"
+        if table.name in PLANTED:
+            return lambda: table_csv(s, table.name, path)
+        return lambda: writers[table.name](s, path)
+
+    run_together(s.spark, map(job, TABLES.values()))
+    return folder
+
+
+def _write_lines(spark: SparkSession, lines: DataFrame, header: str, purpose: str, folder: str | None = None) -> str:
     """One text column as raw lines, each part file starting with ``header``."""
-    folder = scratch_folder(spark, purpose)
+    folder = folder or scratch_folder(spark, purpose)
     # a one-column CSV without quoting or usable separator is plain lines with a header
     lines.toDF(header).write.option("header", True).option("quote", "").option("sep", "\u0001").option(
         "emptyValue", ""
@@ -24,7 +95,7 @@ def _write_lines(spark: SparkSession, lines: DataFrame, header: str, purpose: st
     return folder
 
 
-def transactions_csv(s: StarSchema) -> str:
+def transactions_csv(s: StarSchema, folder: str | None = None) -> str:
     table = TABLES["financial_transactions"]
     fault = "CAST(transaction_id AS BIGINT) % 50"
     fields = [
@@ -39,10 +110,21 @@ def transactions_csv(s: StarSchema) -> str:
     ]
     line = f"concat(concat_ws(',', {', '.join(fields)}), CASE WHEN {fault} = 19 THEN ',extra' ELSE '' END)"
     lines = s.bronze(table.name).selectExpr(line)
-    return _write_lines(s.spark, lines, ",".join(table.names), "transactions-csv")
+    return _write_lines(s.spark, lines, ",".join(table.names), "transactions-csv", folder)
+
+
+def numbered_csv(s: StarSchema) -> str:
+    """Transactions, some with a bad amount or too many fields; each names its own part file and place in it."""
+    table = TABLES["financial_transactions"]
+    at = "concat('#', spark_partition_id(), ':', (monotonically_increasing_id() & 8589934591) + 1, '#')"
+    fault = "CAST(transaction_id AS BIGINT) % 50"
+    spoilt = {"payment_method": at, "amount": f"CASE WHEN {fault} IN (7, 8) THEN 'bad' ELSE CAST(amount AS STRING) END"}
+    fields = ", ".join(f"coalesce({spoilt.get(c, f'CAST({c} AS STRING)')}, '')" for c in table.names)
+    line = f"concat(concat_ws(',', {fields}), CASE WHEN {fault} = 19 THEN ',extra' ELSE '' END)"
+    return _write_lines(s.spark, s.bronze(table.name).selectExpr(line), ",".join(table.names), "numbered-csv")
 
 
-def reviews_tsv(s: StarSchema) -> str:
+def reviews_tsv(s: StarSchema, folder: str | None = None) -> str:
     table = TABLES["product_reviews"]
     fields = [
         "CASE review_id % 40 WHEN 7 THEN 'zz' WHEN 11 THEN repeat('9', 20) ELSE CAST(review_id AS STRING) END",
@@ -57,10 +139,10 @@ def reviews_tsv(s: StarSchema) -> str:
         "CASE WHEN review_id % 40 = 9 THEN '' ELSE concat('\\t', product_category, '\\tsurplus') END)"
     )
     lines = s.bronze(table.name).selectExpr(line)
-    return _write_lines(s.spark, lines, "\t".join(table.names), "reviews-tsv")
+    return _write_lines(s.spark, lines, "\t".join(table.names), "reviews-tsv", folder)
 
 
-def inventory_json(s: StarSchema) -> str:
+def inventory_json(s: StarSchema, folder: str | None = None) -> str:
     """One object per line; stock is text, no number or too large in some rows; some lines break off."""
     stock = (
         F.when((F.col("reorder_point") == 35) & (F.col("lead_time") == 29), F.lit("bad"))
@@ -68,18 +150,41 @@ def inventory_json(s: StarSchema) -> str:
         .otherwise(F.col("current_stock").cast("string"))
     )
     rows = s.bronze("inventory")
-    return _write_objects(s.spark, rows.withColumn("current_stock", stock), F.col("lead_time") == 17, "inventory-json")
+    return _write_objects(s.spark, rows.withColumn("current_stock", stock), F.col("lead_time") == 17, "inventory-json", folder)
+
+
+# elements of an array file
+ELEMENTS = 500
+
+
+def inventory_arrays(s: StarSchema) -> str:
+    """Files that are arrays of objects over several lines; some elements break off or are no objects."""
+    rows = s.bronze("inventory")
+    line = F.to_json(F.struct(*rows.columns))
+    element = (
+        F.when(F.col("lead_time") == 17, F.regexp_replace(line, ",", " "))
+        .when(F.col("lead_time") == 11, F.substring(line, 1, 40))
+        .when((F.col("reorder_point") == 35) & (F.col("lead_time") == 29), F.regexp_replace(line, '"current_stock":[0-9-]+', '"current_stock":"bad"'))
+        .otherwise(line)
+    )
+    arrays = rows.count() // ELEMENTS + 1
+    held = rows.select(element.alias("element"), F.pmod(F.xxhash64(*rows.columns), F.lit(arrays)).alias("array"))
+    # about ELEMENTS elements to an array
+    text = held.groupBy("array").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("element"), ",\n"), F.lit("\n]")).alias("value"))
+    folder = scratch_folder(s.spark, "inventory-arrays")
+    text.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    return folder
 
 
-def _write_objects(spark: SparkSession, rows: DataFrame, broken, purpose: str) -> str:
+def _write_objects(spark: SparkSession, rows: DataFrame, broken, purpose: str, folder: str | None = None) -> str:
     """One object per line; where ``broken`` holds, without its last character."""
     line = F.to_json(F.struct(*rows.columns))
-    folder = scratch_folder(spark, purpose)
+    folder = folder or scratch_folder(spark, purpose)
     rows.select(F.when(broken, line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)).write.text(folder)
     return folder
 
 
-def stores_json(s: StarSchema) -> str:
+def stores_json(s: StarSchema, folder: str | None = None) -> str:
     """One object per line; postal codes are numbers; some lines break off."""
     rows = s.bronze("store_locations").withColumn("postal_code", F.col("postal_code").cast("bigint"))
-    return _write_objects(s.spark, rows, F.col("employee_count") % 10 == 7, "stores-json")
+    return _write_objects(s.spark, rows, F.col("employee_count") % 10 == 7, "stores-json", folder)
