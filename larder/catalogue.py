@@ -13,8 +13,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larder.operators.clean import CLEANINGS
-from larder.plans import customers, gold, logistics, marketing, promotions, quality, reviews, sales, service
+from larder.operators.clean import CLEANINGS, clean_keys
+from larder.plans import customers, gold, logistics, marketing, promotions, quality, reviews, rollups, sales, service
 from larder.plans import layers as batch
 from larder.schemas import TABLES
 from larder.session import scratch_folder
@@ -173,6 +173,44 @@ def _merged_batches(s: StarSchema) -> DataFrame:
     return merges.clean_rows(s.spark, target)
 
 
+def _layer_checks(s: StarSchema) -> DataFrame:
+    """What the raw rows broke, as recorded by the pass that cleaned them."""
+    layers = _own_layers(s)
+    batch.run_together(
+        s.spark, [lambda t=t: sink.materialize(s.bronze(t), f"{layers.bronze}.{t}") for t in TABLES]
+    )
+    batch.build_silver_checked(s.spark, layers)
+    # one row for each table
+    return _and_gone(s, layers, s.spark.table(f"{layers.analytics}.{batch.CHECKS}"))
+
+
+def _rolled_up(s: StarSchema) -> DataFrame:
+    """Four sales reports from a roll-up kept through merges: a third of the sales come with other amounts, then mended."""
+    layers, rows = _own_layers(s), s.bronze("financial_transactions")
+    target = merges.create_mergeable(s.spark, "financial_transactions", layers.silver, parts=16)
+    rollup = f"{layers.analytics}.daily_sales"
+    third = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    # of two rows of a key the clean layer keeps the lesser
+    other = rows.where(third == 1).withColumn("amount", (F.col("amount") + 1_000_000).cast("decimal(18,2)"))
+    for batch_rows in (rows.where(third == 0).unionByName(other), rows.where(third != 0), rows.where(third == 2)):
+        refreshed = merges.merge_clean(s.spark, "financial_transactions", batch_rows, target)
+        rollups.refresh_rollup(s.spark, target, rollup, refreshed)
+    daily = s.spark.table(rollup)
+    reports = {
+        "month": (rollups.monthly_sales(daily), "month", "avg_transaction_value"),
+        "quarter": (rollups.quarterly_sales(daily), "quarter", "avg_transaction_value"),
+        "weekday": (rollups.weekday_sales(daily), "day_of_week", "avg_transaction_value"),
+        "region": (rollups.region_sales(daily), "region", "avg_transaction"),
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.select(F.lit(name).alias("report"), F.col(label).cast("string").alias("label"), "nb_transactions", "total_sales", F.col(average).alias("average"))
+            for name, (df, label, average) in reports.items()
+        ],
+    )
+
+
 def _located(s: StarSchema) -> DataFrame:
     """Rejected rows by reason, and how many were found at the record of the file that they name."""
     found = files.validate_located(s.spark, landing.numbered_csv(s), "financial_transactions")
@@ -269,7 +307,13 @@ QUERIES: dict[str, Query] = {
     "negative_amount_check": _tx(lambda t: quality.negative_amount_check(gold.enriched_sales(t))),
     "age_bounds_check": _customers(lambda c: quality.age_bounds_check(gold.enriched_customers(c, AS_OF))),
     "bronze_volumes": _stage(lambda s: quality.volumes({t: s.bronze(t) for t in TABLES})),
-    "silver_volumes": _stage(lambda s: quality.volumes({c.target: s.silver(t) for t, c in CLEANINGS.items()})),
+    "silver_volumes": _stage(
+        lambda s: quality.volumes({c.target: clean_keys(s.bronze(t), t) for t, c in CLEANINGS.items()})
+    ),
+    "inventory_uniqueness_check": _stage(
+        lambda s: quality.uniqueness_check(s.bronze("inventory"), *CLEANINGS["inventory"].key)
+    ),
+    "layer_checks": _stage(_layer_checks),
     "sales_row_count": _tx(lambda t: quality.row_count(gold.enriched_sales(t))),
     "reviews_row_count": _stage(lambda s: quality.row_count(s.bronze("product_reviews"), "rows_reviews")),
     "sample_promotions": _stage(lambda s: quality.sample_rows(s.bronze("promotions_data"), ["promotion_id"])),
@@ -382,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_landing": _stage(_reconciled_landing),
     "load_transactions_incremental": _stage(_loaded_once),
     "clean_incremental": _stage(_merged_batches),
+    "sales_from_rollup": _stage(_rolled_up),
     "export_region_sales_csv": _export("financial_transactions", sales.filtered_region_sales, SALES_EXPORTS["regions"]),
     "export_monthly_sales_csv": _export("financial_transactions", sales.filtered_monthly_sales, SALES_EXPORTS["monthly"]),
     "export_weekday_sales_csv": _export("financial_transactions", sales.filtered_weekday_sales, SALES_EXPORTS["weekdays"]),

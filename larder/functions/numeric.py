@@ -65,3 +65,22 @@ def count_if(condition: Column) -> Column:
 def ratio_double(num: Column, den: Column) -> Column:
     """Division in double precision, NULL when the divisor is zero."""
     return num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
+
+
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation of two whole-number columns, rows with a NULL skipped; NULL where one does not vary.
+
+    Sums of values and products are exact decimals, so the result does not
+    depend on the order or partitioning of the rows; where products of sums pass
+    38 digits the last step goes on in doubles.
+    """
+    both = x.isNotNull() & y.isNotNull()
+    x, y = (F.when(both, c.cast("decimal(20,0)")) for c in (x, y))
+    n = F.count(x).cast("decimal(20,0)")
+
+    def spread(a: Column, b: Column) -> Column:
+        ab, sa, sb = (F.try_sum(c).cast("decimal(38,0)") for c in (a * b, a, b))
+        exact = F.try_subtract(F.try_multiply(n, ab), F.try_multiply(sa, sb)).cast("double")
+        return F.coalesce(exact, n.cast("double") * ab.cast("double") - sa.cast("double") * sb.cast("double"))
+
+    return spread(x, y) / F.nullif(F.sqrt(spread(x, x)) * F.sqrt(spread(y, y)), F.lit(0.0))

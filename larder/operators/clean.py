@@ -150,6 +150,12 @@ def clean(df: DataFrame, table: str, strict_blanks: bool = False) -> DataFrame:
     return keep_one(apply_rules(df, spec, strict_blanks), spec.key, spec.newest)
 
 
+def clean_keys(df: DataFrame, table: str) -> DataFrame:
+    """The keys that ``clean`` keeps a row for, without ordering the rows of a key."""
+    spec = CLEANINGS[table]
+    return apply_rules(df, spec).select(*spec.key).distinct()
+
+
 def laid_out(cleaned: DataFrame, table: str) -> DataFrame:
     """Clean rows in the order they are stored in: sorted inside each partition, no shuffle."""
     layout = CLEANINGS[table].layout

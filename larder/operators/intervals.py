@@ -86,6 +86,38 @@ def count_active(
     ).filter("_fact").drop("_fact")
 
 
+def levels(intervals: DataFrame, keys: list[str], start: str, end: str, counts: dict[str, Column]) -> DataFrame:
+    """Stretches of days over which the same intervals of ``keys`` run: keys, first_day, last_day and ``counts``.
+
+    ``counts`` maps output names to whole-number expressions of the intervals,
+    summed over those that run; ``F.lit(1)`` counts them. A sweep over starts and
+    ends gives at most two stretches an interval, however long it is. Stretches
+    without any interval are left out, as are intervals with a NULL start or end
+    or a start after the end.
+    """
+    names = list(counts)
+    edges = (
+        intervals.filter(F.col(start) <= F.col(end))
+        .select(
+            *keys, F.lit(1).alias("_running"), *[c.alias(n) for n, c in counts.items()],
+            F.col(start).alias("_on"), F.date_add(F.col(end), 1).alias("_off"),
+        )
+        .unpivot([*keys, "_running", *names], ["_on", "_off"], "_side", "first_day")
+    )
+    signed = {n: F.sum(F.when(F.col("_side") == "_on", F.col(n)).otherwise(-F.col(n))).alias(n) for n in ["_running", *names]}
+    changes = edges.groupBy(*keys, "first_day").agg(*signed.values())
+    sweep = Window.partitionBy(*keys).orderBy("first_day")
+    so_far = sweep.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        changes.select(
+            *keys, "first_day", F.date_sub(F.lead("first_day").over(sweep), 1).alias("last_day"),
+            *[F.sum(n).over(so_far).alias(n) for n in ["_running", *names]],
+        )
+        .filter("_running > 0")
+        .drop("_running")
+    )
+
+
 def totals_within(
     facts: DataFrame,
     intervals: DataFrame,
@@ -103,20 +135,19 @@ def totals_within(
     additive row expressions as in ``count_active``; a NULL value adds nothing.
     """
     names = list(measures)
-    bounds = F.when(
-        F.col(key).isNotNull() & (F.col(start) <= F.col(end)),
-        F.array(
-            F.struct(F.date_sub(F.col(start), 1).alias("day"), F.lit(-1).alias("sign")),
-            F.struct(F.col(end).alias("day"), F.lit(1).alias("sign")),
-        ),
-    )
+    holds = F.col(key).isNotNull() & (F.col(start) <= F.col(end))
     # a group column may be the interval's own start or end, so the bound's day
     # and join key get names of their own
-    edged = intervals.select(
-        *group,
-        F.col(key).alias("_key"),
-        F.explode_outer(bounds).alias("_edge"),
-    ).select(*group, "_key", F.col("_edge.day").alias("_day"), F.col("_edge.sign").alias("_sign"))
+    edged = (
+        intervals.select(
+            *group,
+            F.col(key).alias("_key"),
+            F.when(holds, F.date_sub(F.col(start), 1)).alias("_eve"),
+            F.when(holds, F.col(end)).alias("_last"),
+        )
+        .unpivot([*group, "_key"], ["_eve", "_last"], "_side", "_day")
+        .select(*group, "_key", "_day", F.when(F.col("_side") == "_eve", -1).otherwise(1).alias("_sign"))
+    )
 
     fact_points = facts.filter(F.col(key).isNotNull() & F.col(date).isNotNull()).select(
         F.col(key).alias("_key"), F.col(date).alias("day"), *[c.alias(n) for n, c in measures.items()]

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from larder.operators.clean import CLEANINGS, clean, laid_out
 from larder.plans import gold, quality
@@ -92,6 +92,46 @@ def build_silver(spark: SparkSession, layers: Layers = Layers()) -> None:
     run_together(spark, [job(name, spec.target) for name, spec in CLEANINGS.items()])
 
 
+CHECKS = "layer_checks"
+_CHECKED = (
+    "table_name string, raw_rows bigint, clean_rows bigint, duplicate_rows bigint, null_key_rows bigint, "
+    "negative_values bigint, out_of_range_values bigint, reversed_periods bigint"
+)
+
+
+def build_silver_checked(spark: SparkSession, layers: Layers = Layers()) -> None:
+    """``build_silver``, and a table ``layer_checks`` of what the raw rows broke, measured by the pass that cleans them.
+
+    Figures ride along with the write, so no table is read for them. Tasks that
+    run again after a lost executor are counted again; the number of raw rows,
+    which the stored table knows without a scan, shows that, and the figures of
+    that table are then taken by a query of their own.
+    """
+    found = []
+
+    def job(name, spec):
+        raw, target = spark.table(f"{layers.bronze}.{name}"), f"{layers.silver}.{spec.target}"
+
+        def build() -> None:
+            before, after = Observation(), Observation()
+            checks = quality.raw_checks(spec)
+            cleaned = clean(raw.observe(before, *checks), name).observe(after, F.count("*").alias("clean_rows"))
+            sink.materialize(laid_out(cleaned, name), target)
+            figures = before.get
+            if figures["raw_rows"] != raw.count():
+                figures = raw.agg(*checks).first().asDict()
+            clean_rows = after.get["clean_rows"]
+            found.append((name, figures["raw_rows"], clean_rows, figures["raw_rows"] - clean_rows, *(figures[c] for c in _FIGURES)))
+
+        return build
+
+    run_together(spark, [job(name, spec) for name, spec in CLEANINGS.items()])
+    sink.materialize(spark.createDataFrame(found, _CHECKED), f"{layers.analytics}.{CHECKS}")
+
+
+_FIGURES = ("null_key_rows", "negative_values", "out_of_range_values", "reversed_periods")
+
+
 def gold_table(name: str, source: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     if name == "ventes_enrichies":
         return gold.enriched_sales(source)

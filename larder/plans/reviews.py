@@ -73,5 +73,5 @@ def review_volume_vs_rating(reviews: DataFrame) -> DataFrame:
     """Correlation, over products, of the number of ratings and the average rating."""
     return product_performance(reviews).agg(
         F.count("*").alias("nb_products"),
-        F.round(F.corr("nb_reviews", F.col("avg_rating").cast("double")), 6).alias("correlation"),
+        F.round(num.correlation(F.col("nb_reviews"), F.col("avg_rating") * 100), 6).alias("correlation"),
     )

@@ -46,7 +46,5 @@ def duration_satisfaction_correlation(interactions: DataFrame) -> DataFrame:
     pair = interactions.filter("duration_minutes IS NOT NULL AND customer_satisfaction IS NOT NULL")
     return pair.agg(
         F.count("*").alias("nb_interactions"),
-        F.round(
-            F.corr(F.col("duration_minutes").cast("double"), F.col("customer_satisfaction").cast("double")), 6
-        ).alias("correlation"),
+        F.round(num.correlation(F.col("duration_minutes") * 100, F.col("customer_satisfaction")), 6).alias("correlation"),
     )
