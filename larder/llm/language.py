@@ -20,8 +20,9 @@ from larder.llm.common import text_or_empty
 
 FEATURES = 1 << 16
 LONGEST = 3
-# documents the model is fitted on, a fifth of them for the temperature
+# documents the model is fitted on, a fifth of them for the temperature; and the least of a language, where it has them
 SAMPLE = 4000
+LEAST = 100
 SLICES = 16
 UNDETERMINED = "und"
 
@@ -145,14 +146,20 @@ def trained(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from ``docs`` (``text``, ``lang``); rows without either are left out.
 
     The sample is the rows whose hash of the text falls into a share that makes
-    about ``sample`` of them.
+    about ``sample`` of them, or ``LEAST`` of a language that would have fewer.
+    Such a language's bias is lowered by as much as it is over-represented.
     """
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
     counts, documents = document_frequencies(known)
     if not documents:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32), 1.0)
     inverse = np.log((1 + documents) / (1 + counts)) + 0.1
-    drawn = known.withColumn("h", F.xxhash64("text")).where(F.pmod("h", F.lit(documents)) < sample)
+    # one row a language
+    kinds = known.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.least(F.greatest(F.lit(sample / documents), F.lit(float(LEAST)) / F.col("n")), F.lit(1.0))
+    shares = kinds.select("lang", share.alias("share"))
+    drawn = known.withColumn("h", F.xxhash64("text")).join(shares, "lang")
+    drawn = drawn.where(F.pmod("h", F.lit(1 << 40)) < F.col("share") * (1 << 40)).drop("share")
     # a text that is repeated counts once, or it could be most of the sample
     some = drawn.dropDuplicates(["h", "lang"]).withColumn("all", F.lit(1))
 
@@ -166,7 +173,11 @@ def trained(docs: DataFrame, sample: int = SAMPLE) -> Model:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32), 1.0)
     final = np.frombuffer(made["weights"], "<f4").reshape(FEATURES + 1, -1)
     scaled = (final[:FEATURES] * (_SCALE * inverse)[:, None]).astype(np.float32)
-    return Model(list(made["languages"]), scaled, final[FEATURES], made["temperature"])
+    drawn_share = {r["lang"]: r["share"] for r in shares.collect()}
+    usual = min(sample / documents, 1.0)
+    extra = np.array([np.log(drawn_share[name] / usual) for name in made["languages"]], np.float32)
+    bias = final[FEATURES] - np.float32(made["temperature"]) * extra
+    return Model(list(made["languages"]), scaled, bias, made["temperature"])
 
 
 def _predict(model: Model):
