@@ -23,10 +23,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from larder.llm.common import stored, text_or_empty
 
-# labelled rows the lexicon, the trees and the calibration are fitted on
-SAMPLE = 24_000
-LEXICON = 4000
+# labelled rows that trees and calibration are fitted on, at most two thirds of all; the lexicon is learned from the others
+SAMPLE = 16_000
+# the most words and the most stems of the lexicon, and toxic texts that must hold one
+WORDS, WORD_SUPPORT = 20_000, 3
+STEM_ENTRIES, STEM_SUPPORT = 5_000, 8
 STEMS = (4, 5)
+# entries a task counts before it passes them on
+_HELD = 200_000
 # how many times as often as in other texts
 LEANING = 8.0
 
@@ -124,47 +128,67 @@ def measured(rows: DataFrame, words: frozenset, stems: frozenset) -> DataFrame:
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Toxic and other texts of the task that hold each word or stem."""
+    counts: dict[str, list[int]] = {}
+
+    def out():
+        columns = {"entry": pa.array(list(counts), pa.string())}
+        for k, name in enumerate(("o", "t")):
+            columns[name] = pa.array([c[k] for c in counts.values()], pa.int64())
+        counts.clear()
+        return pa.RecordBatch.from_pydict(columns)
+
     for batch in batches:
         for text, toxic in zip(batch["text"], batch["toxic"].to_pylist()):
-            keys = set().union(*map(_keys, set(_plain(text.as_py()))))
-            yield pa.RecordBatch.from_pydict(
-                {"entry": pa.array(keys, pa.string()), "toxic": pa.array([toxic] * len(keys), pa.int32())}
-            )
+            for key in set().union(*map(_keys, set(_plain(text.as_py())))):
+                counts.setdefault(key, [0, 0])[toxic] += 1
+            if len(counts) > _HELD:
+                yield out()
+    yield out()
 
 
-def learned_lexicon(rows: DataFrame, most: int = LEXICON) -> tuple[frozenset, frozenset]:
-    """Words and stems that lean to toxic texts, from ``rows`` (text, toxic)."""
+def learned_lexicon(rows: DataFrame, words: int = WORDS, stems: int = STEM_ENTRIES) -> tuple[frozenset, frozenset]:
+    """Words and stems that lean to toxic texts, from ``rows`` (text, toxic: 0 or 1), counted over all of them.
+
+    At most ``words`` and ``stems``, those in most toxic texts, as the model goes to every task.
+    """
     totals = rows.agg(F.sum("toxic"), F.count("*")).first()
     toxic, other = totals[0] or 0, (totals[1] or 0) - (totals[0] or 0)
     if not toxic:
         return frozenset(), frozenset()
-    counts = rows.mapInArrow(_entries, "entry string, toxic int").groupBy("entry").agg(
-        F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o")
+    counts = rows.mapInArrow(_entries, "entry string, o bigint, t bigint").groupBy("entry").agg(
+        F.sum("t").alias("t"), F.sum("o").alias("o")
     )
     leans = F.col("t") / toxic > LEANING * (F.col("o") + 0.5) / max(1, other)
-    best = counts.where(leans & (F.col("t") >= 3)).orderBy(F.desc("t"), "entry").limit(most).collect()
-    stems = frozenset(r["entry"] for r in best if r["entry"].endswith("*") and r["t"] >= 8)
-    return frozenset(r["entry"] for r in best if not r["entry"].endswith("*")), stems
+    leaning = stored(counts.where(leans & (F.col("t") >= min(WORD_SUPPORT, STEM_SUPPORT))), "leaning-entries")
+
+    def most(stem: bool, support: int, bound: int) -> frozenset:
+        some = leaning.where((F.col("entry").endswith("*") == stem) & (F.col("t") >= support))
+        return frozenset(r["entry"] for r in some.orderBy(F.desc("t"), "entry").limit(bound).collect())
+
+    return most(False, WORD_SUPPORT, words), most(True, STEM_SUPPORT, stems)
 
 
 def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from ``docs`` (doc_id, text) whose ids are in ``labels`` (doc_id, toxic).
 
-    The sample is the labelled rows whose hash of the id falls into a share that
-    makes about ``sample`` of them; it is chosen before any text is read. A third
-    of it fits the lexicon, a third the trees and a third the calibration, so
-    that none is judged on what the one before has seen. Null labels are left out.
+    Texts that repeat count once. About ``sample`` of the labelled texts, chosen
+    by their hash and at most two thirds, fit the trees and the calibration, half
+    each; the lexicon is counted over all others. So none is judged on what the
+    one before has seen. Null labels are left out, other labels than 0 count as 1.
     """
-    marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    labelled = stored(docs.select("doc_id").distinct().join(marked, "doc_id"), "toxicity-labels")
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, labelled.count()))) < sample
-    ids = stored(labelled.where(drawn), "toxicity-sample-ids")
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(ids, "doc_id").select("text", "toxic")
-    # rows that repeat id and text count once
-    chosen = stored(rows.withColumn("h", F.xxhash64("text")).dropDuplicates(["h", "toxic"]), "toxicity-sample")
-    part = F.pmod(F.xxhash64("h"), F.lit(3))
-    words, stems = learned_lexicon(chosen.where(part == 0).select("text", "toxic"))
-    features = stored(measured(chosen.where(part > 0).withColumn("part", part), words, stems), "toxicity-features")
+    marked = (
+        labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.max((F.col("toxic").cast("int") != 0).cast("int")).alias("toxic"))
+    )
+    rows = docs.select("doc_id", text_or_empty().alias("text")).join(marked, "doc_id").select("text", "toxic")
+    known = stored(rows.withColumn("h", F.xxhash64("text")).dropDuplicates(["h", "toxic"]), "toxicity-labelled")
+    n = max(1, known.count())
+    kept = F.pmod("h", F.lit(3 * n)) < min(2 * n, 3 * sample)
+    words, stems = learned_lexicon(known.where(~kept).select("text", "toxic"))
+    part = (F.pmod(F.xxhash64("h"), F.lit(2)) + 1).alias("part")
+    features = stored(measured(known.where(kept).select("text", "toxic", part), words, stems), "toxicity-features")
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(features)
     fit, check = rows.where("part = 1"), rows.where("part = 2")
     found = {r["part"]: (r["n"], r["t"]) for r in features.groupBy("part").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).collect()}
