@@ -95,7 +95,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, ceiling: int = CEILING, seed: str =
     """Every row of ``docs`` with ``mix_source_size``, ``mix_target`` and ``mix_copies``.
 
     ``docs`` needs ``doc_id`` and ``source``, and ``mix_size`` from ``measured``;
-    all its columns are kept. ``mix_copies`` is how often the mixture contains
+    all its columns are kept, other names that begin with ``mix_`` are taken. ``mix_copies`` is how often the mixture contains
     the row, 0 to ``ceiling``.
 
     A null source is a source of its own. Sizes of 0 are drawn like any other
@@ -139,7 +139,9 @@ def mixed(docs: DataFrame, weights=WEIGHTS, ceiling: int = CEILING, seed: str =
 
 
 def drawn(docs: DataFrame, weights=WEIGHTS, ceiling: int = CEILING, seed: str = SEED) -> DataFrame:
-    """The mixture itself: the columns of ``docs``, each row as often as it was drawn."""
-    copies = mixed(measured(docs), weights, ceiling, seed)
-    repeated = copies.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
-    return repeated.where("mix_copies > 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The mixture itself: the columns of ``docs``, of whatever names, each row as often as it was drawn."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    size = measured(docs.select(whole, "doc_id", "source", "text")).select("row", "doc_id", "source", "mix_size")
+    copies = mixed(size, weights, ceiling, seed)
+    repeated = copies.where("mix_copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
+    return repeated.select("row.*")

@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +43,47 @@ def test_language_hard_cases(spark):
     assert language.identified(df.limit(0), model).collect() == []
 
 
+def test_rare_language_is_learned(spark, monkeypatch):
+    """A language far below the sample's share is in the model, without being predicted for others."""
+    monkeypatch.setattr(language, "LEAST", 30)
+    words = {"en": "the house of people is here and small".split(), "de": "das haus der leute ist hier und klein".split(), "xx": "zzyk wvoq gruxx hnarr blyv kkepp".split()}
+    rows = [("en" if k % 2 else "de", k) for k in range(6000)] + [("xx", k) for k in range(40)]
+    texts = [(" ".join(words[lang][(k * 7 + i * (3 + k % 5)) % len(words[lang])] for i in range(12)) + f" {lang[0] * (k % 7)}{k}", lang) for lang, k in rows]
+    model = language.trained(spark.createDataFrame(texts, "text string, lang string"), sample=300)
+    assert model.languages == ["de", "en", "xx"]
+    asked = [(1, True, "zzyk blyv wvoq kkepp"), (2, True, "the people of the house"), (3, True, "das haus der leute")]
+    df = spark.createDataFrame(asked, "doc_id long, held_out boolean, text string")
+    assert {r.doc_id: r.lang_pred for r in language.identified(df, model).collect()} == {1: "xx", 2: "en", 3: "de"}
+
+
+def test_predictions_against_a_plain_scorer(spark):
+    """A second scorer of the same model: every n-gram of the whole text, one by one."""
+    texts = ["the house of the people is here"] * 30 + ["das Haus der Leute ist hier und schön"] * 30
+    model = language.trained(spark.createDataFrame([(t, "en" if t[0] == "t" else "de") for t in texts], "text string, lang string"))
+    asked = ["the haus", "DAS schöne Haus 12", "x", "people " * 3000, "hier is the house, und"] + [f"{a} {b}" for a in "the das here hier".split() for b in "is ist of der".split()]
+    df = spark.createDataFrame([(k, False, t) for k, t in enumerate(asked)], "doc_id long, held_out boolean, text string")
+    for r in language.identified(df, model).collect():
+        total, n = np.zeros(len(model.languages)), 0
+        for _, features in language._grams([asked[r.doc_id]]):
+            for f in features.tolist():
+                total += model.weights[f].astype(float)
+                n += 1
+        z = (total / max(n, 1) + model.bias) / model.temperature
+        chance = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert r.lang_pred == model.languages[int(chance.argmax())] and r.score == pytest.approx(chance.max(), rel=1e-4)
+
+
+def test_lexicon_counts_every_text(spark):
+    """Words of few toxic texts are learned from a table of any size; words and stems have bounds of their own."""
+    rows = [(f"common words of text {k} " + (f"vilest{k % 400} rude" if k % 4 == 0 else "kind"), int(k % 4 == 0)) for k in range(8000)]
+    df = spark.createDataFrame(rows, "text string, toxic int").repartition(6)
+    words, stems = toxicity.learned_lexicon(df)
+    assert {f"vilest{4 * k}" for k in range(100)} <= words and "rude" in words and "kind" not in words and "vile*" in stems
+    few, one = toxicity.learned_lexicon(df, words=3, stems=1)
+    assert len(few) == 3 and "rude" in few and len(one) == 1
+    assert toxicity.learned_lexicon(df.where("toxic = 0")) == (frozenset(), frozenset())
+
+
 def test_toxicity_held_out(spark, docs):
     got = QUERIES["op10_toxicity"](spark, "/root/testdata/sf0.1")
     assert got.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
