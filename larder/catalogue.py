@@ -17,7 +17,7 @@ from larder.operators.clean import CLEANINGS, clean_keys
 from larder.plans import customers, gold, logistics, marketing, promotions, quality, reviews, rollups, sales, service
 from larder.plans import layers as batch
 from larder.schemas import TABLES
-from larder.session import scratch_folder
+from larder.session import remove_folder, scratch_folder
 from larder.sinks import ledger, merges, tables as sink
 from larder.sinks.exports import PROMOTION_EXPORTS, SALES_EXPORTS, export_csv
 from larder.sinks.tables import Layers
@@ -148,7 +148,37 @@ def _batch(s: StarSchema) -> DataFrame:
     batch.build_silver(s.spark, layers)
     batch.build_gold(s.spark, layers, AS_OF)
     # one row for each table
-    return _and_gone(s, layers, batch.lake_inventory(s.spark, layers))
+    found = _and_gone(s, layers, batch.lake_inventory(s.spark, layers))
+    remove_folder(s.spark, folder)
+    return found
+
+
+def _environment(s: StarSchema) -> DataFrame:
+    """What the catalog says of layers just built from landing files, and what the stage and a look into it show."""
+    folder, layers = landing.whole_landing(s), _own_layers(s)
+    sink.create_bronze(s.spark, layers.bronze)
+    batch.load_bronze(s.spark, folder, layers)
+    status = sink.environment_status(s.spark, layers).first()
+    stores = files.preview_file(s.spark, f"{folder}/{TABLES['store_locations'].file}", "store_locations").collect()
+    stores = s.spark.createDataFrame(stores, TABLES["store_locations"].text_schema)
+    known = s.bronze("store_locations").select("store_id")
+    listed = files.list_stage(s.spark, folder).where("length > 0 AND path LIKE '%/part-%'")
+    commented = s.spark.catalog.getTable(f"{layers.bronze}.inventory").description
+    rows = [
+        ("status", status["status"], status["nb_tables"]),
+        ("layers", status["schemas_info"].replace(layers.bronze, "bronze").replace(layers.silver, "silver"), 2),
+        ("catalog", status["database_info"], 1),
+        ("tables", None, sink.list_tables(s.spark, layers.bronze).count()),
+        ("inventory", commented, sink.read_table(s.spark, f"{layers.bronze}.inventory").count()),
+        ("stage", None, listed.select(F.regexp_extract("path", "/([^/]+)/part-", 1)).distinct().count()),
+        # records that do not parse show no fields
+        ("preview", None, stores.count() - stores.where("store_id IS NOT NULL").join(known, "store_id", "left_anti").count()),
+    ]
+    # seven rows about the environment
+    found = s.spark.createDataFrame(rows, "item string, text string, nb bigint")
+    found = _and_gone(s, layers, found)
+    remove_folder(s.spark, folder)
+    return found
 
 
 def _loaded_once(s: StarSchema) -> DataFrame:
@@ -158,6 +188,8 @@ def _loaded_once(s: StarSchema) -> DataFrame:
     state = scratch_folder(s.spark, "load-state")
     for _ in range(2):
         load_new_files(s.spark, folder, "financial_transactions", book, state).awaitTermination()
+    for used in (folder, state):
+        remove_folder(s.spark, used)
     return s.spark.table(book.good).drop(ledger.BATCH)
 
 
@@ -170,6 +202,7 @@ def _merged_batches(s: StarSchema) -> DataFrame:
     for k in (0, 1, 1, 2):
         ledger.put_batch(rows.where(third == k), book.good, f"batch-{k}")
         merges.merge_clean(s.spark, "inventory", ledger.batch_rows(s.spark, book, f"batch-{k}"), target)
+    s.spark.sql(f"DROP SCHEMA {layers.bronze} CASCADE")
     return merges.clean_rows(s.spark, target)
 
 
@@ -202,6 +235,7 @@ def _rolled_up(s: StarSchema) -> DataFrame:
         "weekday": (rollups.weekday_sales(daily), "day_of_week", "avg_transaction_value"),
         "region": (rollups.region_sales(daily), "region", "avg_transaction"),
     }
+    s.spark.sql(f"DROP SCHEMA {layers.silver} CASCADE")
     return reduce(
         DataFrame.unionByName,
         [
@@ -298,6 +332,7 @@ QUERIES: dict[str, Query] = {
     # gold tables
     "enriched_sales": _tx(gold.enriched_sales),
     "promotion_activity": _promos(lambda p: gold.promotion_activity(p, AS_OF)),
+    "promotion_activity_today": _promos(gold.promotion_activity),
     "enriched_customers": _customers(lambda c: gold.enriched_customers(c, AS_OF)),
     # quality
     "sales_uniqueness_check": _tx(lambda t: quality.uniqueness_check(gold.enriched_sales(t), "transaction_id")),
@@ -439,4 +474,5 @@ QUERIES: dict[str, Query] = {
     ),
     # the batch into catalog tables
     "stored_layers": _stage(_batch),
+    "environment_report": _stage(_environment),
 }

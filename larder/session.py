@@ -53,6 +53,12 @@ def build_session(app: str = "larder", sizing: dict[str, str] | None = None, **c
     return builder.getOrCreate()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more, wherever it is stored."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
