@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from larder.llm.common import stored, text_or_empty
 
-# labelled rows that trees and calibration are fitted on, at most two thirds of all; the lexicon is learned from the others
-SAMPLE = 16_000
+# labelled rows the model is fitted on; a third of them for trees and calibration, the others for the lexicon
+SAMPLE = 48_000
 # the most words and the most stems of the lexicon, and toxic texts that must hold one
 WORDS, WORD_SUPPORT = 20_000, 3
 STEM_ENTRIES, STEM_SUPPORT = 5_000, 8
@@ -172,20 +172,25 @@ def learned_lexicon(rows: DataFrame, words: int = WORDS, stems: int = STEM_ENTRI
 def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from ``docs`` (doc_id, text) whose ids are in ``labels`` (doc_id, toxic).
 
-    Texts that repeat count once. About ``sample`` of the labelled texts, chosen
-    by their hash and at most two thirds, fit the trees and the calibration, half
-    each; the lexicon is counted over all others. So none is judged on what the
-    one before has seen. Null labels are left out, other labels than 0 count as 1.
+    The sample is the labelled rows whose hash of the id falls into a share that
+    makes about ``sample`` of them; it is chosen before any text is read, and its
+    ids, of so bounded a number, go to every task, so that no text is moved for
+    the choice. A third of its texts, by their hash, fits the trees and the
+    calibration, half each; the lexicon is counted over all others. So none is
+    judged on what the one before has seen. Texts that repeat count once. Null
+    labels are left out, other labels than 0 count as 1.
     """
     marked = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.max((F.col("toxic").cast("int") != 0).cast("int")).alias("toxic"))
     )
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(marked, "doc_id").select("text", "toxic")
-    known = stored(rows.withColumn("h", F.xxhash64("text")).dropDuplicates(["h", "toxic"]), "toxicity-labelled")
-    n = max(1, known.count())
-    kept = F.pmod("h", F.lit(3 * n)) < min(2 * n, 3 * sample)
+    labelled = stored(docs.select("doc_id").distinct().join(marked, "doc_id"), "toxicity-labels")
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, labelled.count()))) < sample
+    ids = stored(labelled.where(drawn), "toxicity-sample-ids")
+    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(ids), "doc_id").select("text", "toxic")
+    known = stored(rows.withColumn("h", F.xxhash64("text")).dropDuplicates(["h", "toxic"]), "toxicity-sample")
+    kept = F.pmod("h", F.lit(3)) == 0
     words, stems = learned_lexicon(known.where(~kept).select("text", "toxic"))
     part = (F.pmod(F.xxhash64("h"), F.lit(2)) + 1).alias("part")
     features = stored(measured(known.where(kept).select("text", "toxic", part), words, stems), "toxicity-features")
