@@ -154,12 +154,14 @@ def trained(docs: DataFrame, sample: int = SAMPLE) -> Model:
     if not documents:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32), 1.0)
     inverse = np.log((1 + documents) / (1 + counts)) + 0.1
-    # one row a language
-    kinds = known.groupBy("lang").agg(F.count("*").alias("n"))
-    share = F.least(F.greatest(F.lit(sample / documents), F.lit(float(LEAST)) / F.col("n")), F.lit(1.0))
-    shares = kinds.select("lang", share.alias("share"))
-    drawn = known.withColumn("h", F.xxhash64("text")).join(shares, "lang")
-    drawn = drawn.where(F.pmod("h", F.lit(1 << 40)) < F.col("share") * (1 << 40)).drop("share")
+    # languages too rare for the usual share; like the model's columns they are as many as languages at most
+    usual = min(sample / documents, 1.0)
+    rare = known.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") * usual < LEAST)
+    shares = {r["lang"]: min(LEAST / r["n"], 1.0) for r in rare.collect()}
+    share = F.lit(usual)
+    if shares:
+        share = F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for pair in shares.items() for v in pair]), F.col("lang")), share)
+    drawn = known.withColumn("h", F.xxhash64("text")).where(F.pmod("h", F.lit(1 << 40)) < share * (1 << 40))
     # a text that is repeated counts once, or it could be most of the sample
     some = drawn.dropDuplicates(["h", "lang"]).withColumn("all", F.lit(1))
 
@@ -173,9 +175,7 @@ def trained(docs: DataFrame, sample: int = SAMPLE) -> Model:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32), 1.0)
     final = np.frombuffer(made["weights"], "<f4").reshape(FEATURES + 1, -1)
     scaled = (final[:FEATURES] * (_SCALE * inverse)[:, None]).astype(np.float32)
-    drawn_share = {r["lang"]: r["share"] for r in shares.collect()}
-    usual = min(sample / documents, 1.0)
-    extra = np.array([np.log(drawn_share[name] / usual) for name in made["languages"]], np.float32)
+    extra = np.array([np.log(shares.get(name, usual) / usual) for name in made["languages"]], np.float32)
     bias = final[FEATURES] - np.float32(made["temperature"]) * extra
     return Model(list(made["languages"]), scaled, bias, made["temperature"])
 
