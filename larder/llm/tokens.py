@@ -25,37 +25,45 @@ from larder.session import scratch_folder
 
 END = 1
 SHARD_TOKENS = 1 << 20
-# words whose ids a worker remembers; beyond it starts anew
-REMEMBERED = 300_000
+# words whose ids a worker remembers, in two halves: a full half takes the place of the older one
+REMEMBERED = 600_000
 # words given to the tokenizer at once; it takes some thousand bytes for each
 TOGETHER = 1 << 11
 
 # punctuation that is in no special token and in no contraction
 _CLOSING = b"!\"#$%&()*+,-./:;=?@[]^_`{}~\\"
 _PROBE = "Ab, cd.\tEf!!\n gh?). don't.\x0b\x0cij \r1, 2. É, é.;"
+_PLAIN = "a i s t re ve the dont people zyxw qqqq internationalisation abcdefghijklmnopqrstuvwxyz"
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-class WordEncoder(dict):
-    """Ids of white-space separated words, as packed bytes; remembers those of their parts.
+class WordEncoder:
+    """Ids of white-space separated words, as packed bytes; remembers those of words and of their parts.
 
     The tokenizer never joins text across ASCII white space, so a text's ids are
     its words' ids in order. ASCII punctuation at the end of a word, after a
     letter or digit, is a piece of its own and is looked up apart from the rest.
     Both rest on how the tokenizer cuts a text before its merges;
-    ``split_safe`` checks for that.
+    ``split_safe`` checks for that. Words of the letters a to z alone are one
+    piece each and go to the tokenizer's merges directly where ``direct`` shows
+    that its normaliser leaves them as they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merges = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        everything = np.arange(self.size, dtype=self.kind).tobytes()
+        self.single = [everything[i : i + self.kind.itemsize] for i in range(0, len(everything), self.kind.itemsize)]
         self.split_safe, self.folds = self._is_split_safe(_PROBE), self._ids(_PROBE) == self._ids(_PROBE.lower())
+        self.direct = all(self._ids(w) == [t.id for t in self.merges.tokenize(w)] for w in _PLAIN.split())
 
     def _is_split_safe(self, probe: str) -> bool:
         pieces = [p for word in probe.split() for p in self._parted(word.encode()) if p]
@@ -74,33 +82,56 @@ class WordEncoder(dict):
         last = core[-1:] if core[-1] < 128 else normalize("NFC", core.decode()).lower()[-1:]
         return (core, word[len(core) :]) if last.isalnum() else (word, b"")
 
-    def known(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of each of ``words``; parts not seen before go to the tokenizer, letter words in one call."""
-        parted = {w: self._parted(w) for w in words}
-        parts = set(chain.from_iterable(parted.values()))
-        parts.discard(b"")
-        if len(self) + len(parts - self.keys()) > REMEMBERED:
-            self.clear()
-        new = [w.decode() for w in parts - self.keys()]
-        plain = [w for w in new if w.isalpha() and len(w) < 64]
-        rest = [w for w in new if not (w.isalpha() and len(w) < 64)]
-        for start in range(0, len(plain), TOGETHER):
-            some = plain[start : start + TOGETHER]
-            joined = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, owner = np.array(joined.ids, self.kind), np.array(joined.word_ids, np.int64)
+    def _merged(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each of ``words`` with the ids the tokenizer gives it by itself."""
+        joined, rest = [], []
+        for word in words:
+            if self.direct and word.isalpha() and word.islower():  # of bytes: a to z alone
+                yield word, b"".join([self.single[t.id] for t in self.merges.tokenize(word.decode())])
+            else:
+                text = word.decode()
+                (joined if text.isalpha() and len(text) < 64 else rest).append(text)
+        for start in range(0, len(joined), TOGETHER):
+            some = joined[start : start + TOGETHER]
+            encoding = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, owner = np.array(encoding.ids, self.kind), np.array(encoding.word_ids, np.int64)
             cuts = np.flatnonzero(np.diff(owner)) + 1
             if len(cuts) + 1 == len(some):  # one piece a word, as expected of letters
                 size = self.kind.itemsize
                 packed, edges = ids.tobytes(), [0, *(cuts * size).tolist(), len(ids) * size]
                 for word, a, b in zip(some, edges, edges[1:]):
-                    self[word.encode()] = packed[a:b]
+                    yield word.encode(), packed[a:b]
             else:
                 rest += some
         for start in range(0, len(rest), TOGETHER):
             some = rest[start : start + TOGETHER]
             for word, encoding in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self[word.encode()] = np.array(encoding.ids, self.kind).tobytes()
-        return {w: self[core] + self[stop] if stop else self[core] for w, (core, stop) in parted.items()}
+                yield word.encode(), np.array(encoding.ids, self.kind).tobytes()
+
+    def known(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """A mapping with the ids of each of ``words``; those not seen lately go to the tokenizer."""
+        if len(self.recent) > REMEMBERED // 2:
+            self.older, self.recent = self.recent, {}
+        recent, older = self.recent, self.older
+        parted, parts = {}, set()
+        for word in words.difference(recent):
+            if word in older:
+                recent[word] = older[word]
+            else:
+                parted[word] = self._parted(word)
+                parts.update(parted[word])
+        parts.discard(b"")
+        new = []
+        for part in parts.difference(recent):
+            if part in older:
+                recent[part] = older[part]
+            else:
+                new.append(part)
+        recent.update(self._merged(new))
+        for word, (core, stop) in parted.items():
+            if stop:
+                recent[word] = recent[core] + recent[stop]
+        return recent
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""

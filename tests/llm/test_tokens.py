@@ -118,3 +118,14 @@ def test_nulls_repeats_and_many_shards(spark, plain, tmp_path):
 def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], SCHEMA)
     assert tokens.round_trip(df, PATH).collect() == []
+
+
+def test_words_seen_again_after_others_filled_the_memory(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    encoder, rng = tokens.WordEncoder(PATH), np.random.default_rng(7)
+    assert encoder.direct
+    for _ in range(60):
+        texts = [" ".join("".join(rng.choice(list("abCé.,9"), rng.integers(1, 4))) for _ in range(30)) for _ in range(2)]
+        for text, ids in zip(texts, encoder.encode_all(texts)):
+            assert np.frombuffer(ids, "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+        assert len(encoder.recent) + len(encoder.older) < 40 + 3 * 60
