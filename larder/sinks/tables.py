@@ -30,6 +30,10 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# option of a stored table: about a fifth fewer bytes than the default codec
+CODEC = {"compression": "zstd"}
+
+
 def ensure_layers(spark: SparkSession, layers: Layers = Layers(), location: str | None = None) -> None:
     """Create the three databases where absent, under ``location`` or in the warehouse folder."""
     for layer, comment in LAYER_COMMENTS.items():
@@ -45,7 +49,7 @@ def create_table(spark: SparkSession, table: Table, database: str) -> str:
     name = f"{database}.{table.name}"
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": name})
     empty = spark.createDataFrame([], table.schema)
-    empty.write.format("parquet").saveAsTable(name)
+    empty.write.format("parquet").options(**CODEC).saveAsTable(name)
     document(spark, name, table.comment, {})
     if table.primary_key:
         declare_key(spark, name, table.primary_key)
@@ -64,7 +68,7 @@ def materialize(df: DataFrame, table: str, partition_by: Sequence[str] = ()) ->
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.format("parquet").mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
+    df.write.format("parquet").options(**CODEC).mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
 
 
 def append(df: DataFrame, table: str) -> None:

@@ -49,7 +49,12 @@ class StarSchema:
     def silver(self, table: str) -> DataFrame:
         return clean(self.bronze(table), table)
 
-    def _with_region(self, df: DataFrame, nation_key: str) -> DataFrame:
+    def with_region(self, df: DataFrame, nation_key: str) -> DataFrame:
+        """Rows of ``df`` with nation and region, joined one small table at a time.
+
+        Facts meet customers or suppliers first: joined to their nations beforehand, these
+        have no measured size, and the facts would be shuffled for them whatever it is.
+        """
         nation = self.source("nation")
         region = self.source("region")
         return df.join(nation, df[nation_key] == nation["n_nationkey"]).join(
@@ -57,10 +62,10 @@ class StarSchema:
         )
 
     def customers_located(self) -> DataFrame:
-        return self._with_region(self.source("customer"), "c_nationkey")
+        return self.with_region(self.source("customer"), "c_nationkey")
 
     def suppliers_located(self) -> DataFrame:
-        return self._with_region(self.source("supplier"), "s_nationkey")
+        return self.with_region(self.source("supplier"), "s_nationkey")
 
 
 def _customer_demographics(s: StarSchema) -> DataFrame:
@@ -94,13 +99,16 @@ def _customer_service_interactions(s: StarSchema) -> DataFrame:
 
 
 def _financial_transactions(s: StarSchema) -> DataFrame:
-    orders = s.source("orders")
-    customers = s.customers_located()
-    return orders.join(customers, orders["o_custkey"] == customers["c_custkey"]).selectExpr(
+    orders = s.source("orders").selectExpr(
+        "o_custkey", "o_orderkey", "CAST(o_orderdate AS DATE) AS transaction_date", "o_orderstatus",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS amount", "o_orderpriority",
+    )
+    customers = s.source("customer")
+    return s.with_region(orders.join(customers, orders["o_custkey"] == customers["c_custkey"]), "c_nationkey").selectExpr(
         "CAST(o_orderkey AS STRING) AS transaction_id",
-        "CAST(o_orderdate AS DATE) AS transaction_date",
+        "transaction_date",
         "CASE o_orderstatus WHEN 'F' THEN 'Sale' WHEN 'O' THEN 'Refund' ELSE 'Expense' END AS transaction_type",
-        "CAST(o_totalprice AS DECIMAL(18,2)) AS amount",
+        "amount",
         "o_orderpriority AS payment_method",
         "c_mktsegment AS entity",
         "r_name AS region",
@@ -140,40 +148,45 @@ def _marketing_campaigns(s: StarSchema) -> DataFrame:
 
 
 def _product_reviews(s: StarSchema) -> DataFrame:
-    lineitem = s.source("lineitem")
+    lineitem = s.source("lineitem").selectExpr(
+        "l_partkey", "l_orderkey * 10 + l_linenumber AS review_id", "l_suppkey", "CAST(l_quantity AS INT) AS quantity",
+        "CAST(l_shipdate AS DATE) AS review_date", "concat(l_returnflag, ' ', l_linestatus) AS review_text",
+    )
     part = s.source("part")
     return lineitem.join(part, lineitem["l_partkey"] == part["p_partkey"]).selectExpr(
-        "l_orderkey * 10 + l_linenumber AS review_id",
+        "review_id",
         "concat('P', CAST(l_partkey AS STRING)) AS product_id",
         "CAST(l_suppkey AS STRING) AS reviewer_id",
         "concat('Reviewer ', CAST(l_suppkey AS STRING)) AS reviewer_name",
-        "CAST(l_quantity AS INT) % 7 AS rating",
-        "CAST(l_shipdate AS DATE) AS review_date",
+        "quantity % 7 AS rating",
+        "review_date",
         "concat(' ', p_name, ' ') AS review_title",
-        "concat(l_returnflag, ' ', l_linestatus) AS review_text",
+        "review_text",
         "p_type AS product_category",
     )
 
 
 def _logistics_and_shipping(s: StarSchema) -> DataFrame:
-    lineitem = s.source("lineitem")
-    orders = s.source("orders")
-    suppliers = s.suppliers_located()
-    return (
-        lineitem.join(orders, lineitem["l_orderkey"] == orders["o_orderkey"])
-        .join(suppliers, lineitem["l_suppkey"] == suppliers["s_suppkey"])
-        .selectExpr(
-            "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS shipment_id",
-            "CAST(l_orderkey AS STRING) AS order_id",
-            "CAST(o_orderdate AS DATE) AS ship_date",
-            "CAST(l_shipdate AS DATE) AS estimated_delivery",
-            "l_returnflag AS shipping_method",
-            "CASE o_orderstatus WHEN 'F' THEN 'Delivered' WHEN 'O' THEN 'In transit' ELSE 'Returned' END AS status",
-            "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS shipping_cost",
-            "r_name AS destination_region",
-            "n_name AS destination_country",
-            "s_name AS carrier",
-        )
+    lineitem = s.source("lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_suppkey", "CAST(l_shipdate AS DATE) AS estimated_delivery", "l_returnflag",
+        "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS shipping_cost",
+    )
+    orders = s.source("orders").selectExpr("o_orderkey", "CAST(o_orderdate AS DATE) AS ship_date", "o_orderstatus")
+    supplier = s.source("supplier")
+    shipped = lineitem.join(orders, lineitem["l_orderkey"] == orders["o_orderkey"]).join(
+        supplier, lineitem["l_suppkey"] == supplier["s_suppkey"]
+    )
+    return s.with_region(shipped, "s_nationkey").selectExpr(
+        "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS shipment_id",
+        "CAST(l_orderkey AS STRING) AS order_id",
+        "ship_date",
+        "estimated_delivery",
+        "l_returnflag AS shipping_method",
+        "CASE o_orderstatus WHEN 'F' THEN 'Delivered' WHEN 'O' THEN 'In transit' ELSE 'Returned' END AS status",
+        "shipping_cost",
+        "r_name AS destination_region",
+        "n_name AS destination_country",
+        "s_name AS carrier",
     )
 
 
@@ -207,23 +220,26 @@ def _employee_records(s: StarSchema) -> DataFrame:
 
 
 def _inventory(s: StarSchema) -> DataFrame:
-    lineitem = s.source("lineitem")
+    lineitem = s.source("lineitem").selectExpr(
+        "l_partkey", "l_suppkey", "CAST(l_quantity AS INT) AS quantity", "l_linenumber",
+        "CAST(l_shipdate AS DATE) AS last_restock_date",
+    )
     part = s.source("part")
-    suppliers = s.suppliers_located()
-    return (
-        lineitem.join(part, lineitem["l_partkey"] == part["p_partkey"])
-        .join(suppliers, lineitem["l_suppkey"] == suppliers["s_suppkey"])
-        .selectExpr(
-            "concat('P', CAST(l_partkey AS STRING)) AS product_id",
-            "p_type AS product_category",
-            "r_name AS region",
-            "n_name AS country",
-            "concat('W', CAST(l_suppkey % 3 AS STRING)) AS warehouse",
-            "CAST(l_quantity AS INT) - 2 AS current_stock",
-            "l_linenumber * 5 AS reorder_point",
-            "l_suppkey % 30 AS lead_time",
-            "CAST(l_shipdate AS DATE) AS last_restock_date",
-        )
+    supplier = s.source("supplier").select("s_suppkey", "s_nationkey")
+    # parts last: rows of a product end side by side, and names are added to them there
+    stock = lineitem.join(supplier, lineitem["l_suppkey"] == supplier["s_suppkey"]).join(
+        part, lineitem["l_partkey"] == part["p_partkey"]
+    )
+    return s.with_region(stock, "s_nationkey").selectExpr(
+        "concat('P', CAST(l_partkey AS STRING)) AS product_id",
+        "p_type AS product_category",
+        "r_name AS region",
+        "n_name AS country",
+        "concat('W', CAST(l_suppkey % 3 AS STRING)) AS warehouse",
+        "quantity - 2 AS current_stock",
+        "l_linenumber * 5 AS reorder_point",
+        "l_suppkey % 30 AS lead_time",
+        "last_restock_date",
     )
 
 
