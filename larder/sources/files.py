@@ -269,7 +269,7 @@ def validate_located(spark: SparkSession, path: str, table: Table | str, **optio
 
 
 # an element of an array of flat objects: from its bracket up to the next one outside quotes, which end with the line
-_ELEMENT = r'\{(?:[^{"]++|"(?:[^"\\\n]|\\.)*+"?)*+'
+_ELEMENT = r'\{(?:[^{"]++|"(?:[^"\\\n]++|\\.)*+"?)*+'
 
 
 def load_json_elements(spark: SparkSession, path: str, table: Table | str, **options) -> Loaded:
@@ -282,9 +282,6 @@ def load_json_elements(spark: SparkSession, path: str, table: Table | str, **opt
     """
     table = _table(table)
     rows = json_text(spark.read, path, table, multiLine=True, **options)
-    whole = judge_json(rows.where(F.col(CORRUPT).isNull()), table)
-    # a declared field takes part, as Spark refuses to read broken records alone
-    broken = rows.where(F.col(CORRUPT).isNotNull() & (F.coalesce(F.length(table.names[0]), F.lit(0)) >= 0))
     text = F.col(CORRUPT)
     chunks = F.concat(
         F.array(F.regexp_extract(text, r"^[\s\[]*+([^{]*)", 1)), F.regexp_extract_all(text, F.lit(_ELEMENT), F.lit(0))
@@ -296,15 +293,18 @@ def load_json_elements(spark: SparkSession, path: str, table: Table | str, **opt
         )
     )
     bare = F.filter(F.transform(pieces, lambda p: F.regexp_replace(p, r"^[\s,\]]+|[\s,\]]+$", "")), lambda p: p != "")
+    # an object of a file that parses is one element without a text, so that one scan serves both kinds
+    unparsed = F.when(text.isNull(), F.array(F.lit(None).cast("string"))).otherwise(bare)
     schema = T.StructType([*table.text_schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("element", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    fields = F.when(F.col("element").isNull(), F.struct(*table.names, CORRUPT)).otherwise(parsed)
+    place = F.when(F.col("element").isNotNull(), F.concat_ws(" element ", SOURCE, F.col("at") + 1)).otherwise(F.col(SOURCE))
     elements = (
-        broken.select(SOURCE, F.posexplode(bare).alias("at", "element"))
-        .select(parsed.alias("fields"), F.concat_ws(" element ", SOURCE, F.col("at") + 1).alias(SOURCE))
-        .select("fields.*", SOURCE)
+        rows.select("*", F.posexplode(unparsed).alias("at", "element"))
+        # as rows of a generator: a projection would be repeated for every use of a field, and the element parsed each time
+        .select(place.alias(SOURCE), F.inline(F.array(fields)))
     )
-    alone = judge_json(elements, table)
-    return Loaded(whole.good.unionByName(alone.good), whole.rejects.unionByName(alone.rejects))
+    return judge_json(elements, table)
 
 
 def read_text_fields(
