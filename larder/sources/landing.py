@@ -85,13 +85,19 @@ def whole_landing(s: StarSchema) -> str:
     return folder
 
 
-def _write_lines(spark: SparkSession, lines: DataFrame, header: str, purpose: str, folder: str | None = None) -> str:
+# Files repeat their field names and values, and are read by one task each once compressed, hence their bound
+COMPRESSED = {"compression": "gzip", "maxRecordsPerFile": "1000000"}
+
+
+def _write_lines(
+    spark: SparkSession, lines: DataFrame, header: str, purpose: str, folder: str | None = None, compressed=COMPRESSED
+) -> str:
     """One text column as raw lines, each part file starting with ``header``."""
     folder = folder or scratch_folder(spark, purpose)
     # a one-column CSV without quoting or usable separator is plain lines with a header
     lines.toDF(header).write.option("header", True).option("quote", "").option("sep", "\u0001").option(
         "emptyValue", ""
-    ).csv(folder)
+    ).options(**compressed).csv(folder)
     return folder
 
 
@@ -121,7 +127,9 @@ def numbered_csv(s: StarSchema) -> str:
     spoilt = {"payment_method": at, "amount": f"CASE WHEN {fault} IN (7, 8) THEN 'bad' ELSE CAST(amount AS STRING) END"}
     fields = ", ".join(f"coalesce({spoilt.get(c, f'CAST({c} AS STRING)')}, '')" for c in table.names)
     line = f"concat(concat_ws(',', {fields}), CASE WHEN {fault} = 19 THEN ',extra' ELSE '' END)"
-    return _write_lines(s.spark, s.bronze(table.name).selectExpr(line), ",".join(table.names), "numbered-csv")
+    # places are told from bytes of splits, which compressed files do not have
+    lines = s.bronze(table.name).selectExpr(line)
+    return _write_lines(s.spark, lines, ",".join(table.names), "numbered-csv", compressed={})
 
 
 def reviews_tsv(s: StarSchema, folder: str | None = None) -> str:
@@ -180,7 +188,7 @@ def _write_objects(spark: SparkSession, rows: DataFrame, broken, purpose: str, f
     """One object per line; where ``broken`` holds, without its last character."""
     line = F.to_json(F.struct(*rows.columns))
     folder = folder or scratch_folder(spark, purpose)
-    rows.select(F.when(broken, line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)).write.text(folder)
+    rows.select(F.when(broken, line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)).write.options(**COMPRESSED).text(folder)
     return folder
 
 
