@@ -180,7 +180,10 @@ def inventory_arrays(s: StarSchema) -> str:
     # about ELEMENTS elements to an array
     text = held.groupBy("array").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("element"), ",\n"), F.lit("\n]")).alias("value"))
     folder = scratch_folder(s.spark, "inventory-arrays")
-    text.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    # tasks put their many files in place themselves; the driver would rename one after the other
+    text.select("value").write.options(
+        **{"maxRecordsPerFile": 1, "mapreduce.fileoutputcommitter.algorithm.version": 2}
+    ).text(folder)
     return folder
 
 
