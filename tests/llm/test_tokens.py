@@ -129,3 +129,16 @@ def test_words_seen_again_after_others_filled_the_memory(plain, monkeypatch):
         for text, ids in zip(texts, encoder.encode_all(texts)):
             assert np.frombuffer(ids, "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
         assert len(encoder.recent) + len(encoder.older) < 40 + 3 * 60
+
+
+def test_words_of_small_latin_letters_pass_by_the_whole_tokenizer(plain, monkeypatch):
+    encoder = tokens.WordEncoder(PATH)
+    text = "élan ça\x0büber\x0cstraße\rnaïveté þær ÿ àéîõü élan " + " ".join(f"{a}{b}" for a in tokens._SMALL for b in tokens._SMALL)
+
+    class Refusing:
+        def __getattr__(self, name):
+            raise AssertionError(name)
+
+    monkeypatch.setattr(encoder, "tokenizer", Refusing())
+    for ids, of in zip(encoder.encode_all([text, "", " \t", "a " + text]), [text, "", " \t", "a " + text]):
+        assert np.frombuffer(ids, "<u2").tolist() == plain.encode(of, add_special_tokens=False).ids
