@@ -7,8 +7,11 @@ shuffle is the de-duplication on the table key.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import groupby
+from operator import or_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from larder.functions import rules
 
@@ -130,6 +133,38 @@ def apply_rules(df: DataFrame, spec: Cleaning, strict_blanks: bool = False) -> D
     return df.select(*map(ruled, df.columns))
 
 
+# ends a text, and stands before one that is there or missing
+_END, _THERE, _MISSING = "\u0000", "\u0002", "\u0003"
+# characters not above the end of a text, and what stands for them
+_ESCAPED = {"\u0001": "\u0001\u0002", "\u0000": "\u0001\u0001"}
+
+
+def pack_texts(names: list[str]) -> Column:
+    """Several text columns in one, which sorts as they do one after the other, NULLs last."""
+
+    def packed(name: str) -> Column:
+        text = escaped = F.col(name)
+        for char, instead in _ESCAPED.items():
+            escaped = F.replace(escaped, F.lit(char), F.lit(instead))
+        rare = reduce(or_, [text.contains(char) for char in _ESCAPED])
+        return F.coalesce(F.concat(F.lit(_THERE), F.when(rare, escaped).otherwise(text)), F.lit(_MISSING))
+
+    return F.concat_ws(_END, *map(packed, names))
+
+
+def unpack_texts(parts: str, names: list[str]) -> list[Column]:
+    """The columns that ``pack_texts`` made one of, from its result split at ``_END``."""
+
+    def unpacked(k: int) -> Column:
+        text = plain = F.expr(f"substr({parts}[{k}], 2)")
+        for char, instead in reversed(_ESCAPED.items()):
+            plain = F.replace(plain, F.lit(instead), F.lit(char))
+        plain = F.when(text.contains("\u0001"), plain).otherwise(text)
+        return F.when(F.startswith(F.col(parts)[k], F.lit(_THERE)), plain)
+
+    return [unpacked(k).alias(name) for k, name in enumerate(names)]
+
+
 def keep_one(df: DataFrame, key: tuple[str, ...], newest: str | None = None) -> DataFrame:
     """One row per key; rows whose key is NULL count as one group.
 
@@ -137,11 +172,24 @@ def keep_one(df: DataFrame, key: tuple[str, ...], newest: str | None = None) ->
     smallest in the remaining columns, so reruns agree. Spark cuts each key to
     one row inside every map task before the shuffle (WindowGroupLimit), so a
     key that holds a large part of the table does not reach one reducer whole.
+    Text columns that follow each other are shuffled as one, without the place
+    and the padding that a row keeps for each.
     """
+    texts = {f.name for f in df.schema if f.dataType == T.StringType()}
+    rest = [c for c in df.columns if c not in key and c != newest]
+    runs = [list(run) for _, run in groupby(rest, texts.__contains__)]
+    together = {f"_texts_{k}": run for k, run in enumerate(runs) if len(run) > 1 and run[0] in texts}
+    moved = {c for run in together.values() for c in run}
+    rows = df.select(*[c for c in df.columns if c not in moved], *[pack_texts(run).alias(p) for p, run in together.items()])
+    packs = {run[0]: p for p, run in together.items()}
     order = [F.col(newest).desc_nulls_last()] if newest else []
-    order += [F.col(c).asc_nulls_last() for c in df.columns if c not in key and c != newest]
+    order += [F.col(packs.get(c, c)).asc_nulls_last() for c in rest if c in packs or c not in moved]
     position = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-    return df.withColumn("_position", position).filter("_position = 1").drop("_position")
+    kept = rows.withColumn("_position", position).filter("_position = 1").withColumns(
+        {p: F.split(p, _END, -1) for p in together}
+    )
+    back = {c: e for p, run in together.items() for c, e in zip(run, unpack_texts(p, run))}
+    return kept.select(*[back.get(c, F.col(c)) for c in df.columns])
 
 
 def clean(df: DataFrame, table: str, strict_blanks: bool = False) -> DataFrame:

@@ -30,8 +30,12 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-# option of a stored table: about a fifth fewer bytes than the default codec
-CODEC = {"compression": "zstd"}
+# options of a stored table: about a quarter fewer bytes than by default; version 2 writes numbers and texts as differences
+CODEC = {
+    "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "9",
+    "parquet.writer.version": "PARQUET_2_0",
+}
 
 
 def ensure_layers(spark: SparkSession, layers: Layers = Layers(), location: str | None = None) -> None:
