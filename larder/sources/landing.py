@@ -46,7 +46,7 @@ PLANTED = {
 def table_csv(s: StarSchema, name: str, folder: str | None = None) -> str:
     """A whole table as CSV, text in quotes, with the faults that ``PLANTED`` names."""
     table, planted = TABLES[name], PLANTED[name]
-    n = f"({planted.number}) % 20"
+    n = "_n"
 
     def field(column) -> str:
         text = f"CAST({column.name} AS STRING)"
@@ -63,7 +63,8 @@ def table_csv(s: StarSchema, name: str, folder: str | None = None) -> str:
         return f"coalesce({text}, '')"
 
     fields = ", ".join(map(field, table.columns))
-    lines = s.bronze(name).selectExpr(f"concat(concat_ws(',', {fields}), CASE WHEN {n} = 13 THEN ',extra' ELSE '' END)")
+    numbered = s.bronze(name).withColumn(n, F.expr(f"({planted.number}) % 20"))
+    lines = numbered.selectExpr(f"concat(concat_ws(',', {fields}), CASE WHEN {n} = 13 THEN ',extra' ELSE '' END)")
     return _write_lines(s.spark, lines, ",".join(table.names), name, folder)
 
 
