@@ -24,6 +24,8 @@ def spark(tmp_path_factory):
         spark__ui__showConsoleProgress="false",
         spark__sql__warehouse__dir=str(base / "warehouse"),
         spark__checkpoint__dir=str(base / "shared"),
+        # plans name whole paths, however long the temporary folder's is
+        spark__sql__maxMetadataStringLength="2000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
